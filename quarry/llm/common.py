@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -31,6 +32,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/quarry-{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # shuffle files of finished jobs go only when the driver collects its garbage
     return spark.read.schema(schema).parquet(path)
 
 
