@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import near_dedup, packing, suffix_dedup
+from quarry.llm import decontaminate, near_dedup, packing, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontaminate": decontaminate.OP4_SQL,
+}
