@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, near_dedup, packing, quality, suffix_dedup
+from quarry.llm import decontaminate, fingerprints, near_dedup, packing, quality, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_quality_classifier": quality.op6_quality_classifier,
+    "op7_fingerprints": fingerprints.op7_fingerprints,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
