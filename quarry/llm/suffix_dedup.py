@@ -36,7 +36,7 @@ SPAN = 100
 GRAM = 32
 BLOCK = 1 << 17
 #: Kinds of surroundings of one gram beyond which its windows are dealt one by one.
-MANY_KINDS = 128
+MANY_KINDS = 4096
 _U = np.uint64
 
 _SUFFIX = "bucket int, lead long, gram long, around long, doc_id long, first long, shape int, again boolean"
