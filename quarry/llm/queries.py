@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, fingerprints, near_dedup, packing, quality, suffix_dedup
+from quarry.llm import decontaminate, fingerprints, license_scan, near_dedup, packing, quality, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
@@ -14,9 +14,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_fingerprints": fingerprints.op7_fingerprints,
+    "op8_license_scan": license_scan.op8_license_scan,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": decontaminate.OP4_SQL,
+    "op8_license_scan": license_scan.OP8_SQL,
 }
