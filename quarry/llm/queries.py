@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, fingerprints, license_scan, near_dedup, packing, quality, suffix_dedup
+from quarry.llm import decontaminate, fingerprints, license_scan, near_dedup, packing, quality, suffix_dedup, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_token_output": token_output.op5_token_output,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_fingerprints": fingerprints.op7_fingerprints,
     "op8_license_scan": license_scan.op8_license_scan,
