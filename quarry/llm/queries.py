@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, fingerprints, license_scan, near_dedup, packing, quality, suffix_dedup, token_output
+from quarry.llm import decontaminate, fingerprints, license_scan, lm_scoring, near_dedup, packing, quality, suffix_dedup, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": lm_scoring.op1_lm_scoring,
     "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_decontaminate": decontaminate.op4_decontaminate,
