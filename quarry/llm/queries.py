@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, fingerprints, license_scan, lm_scoring, near_dedup, packing, quality, suffix_dedup, token_output
+from quarry.llm import chat_format, decontaminate, fingerprints, license_scan, lm_scoring, near_dedup, packing, quality, suffix_dedup, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_fingerprints": fingerprints.op7_fingerprints,
     "op8_license_scan": license_scan.op8_license_scan,
+    "op9_chat_format": chat_format.op9_chat_format,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
