@@ -1,14 +1,573 @@
-"""Queries of the engine's own operators, by name, with their SQL."""
+"""Queries of the engine's own operators over the driver's tables, by name, with their SQL.
+
+Sums that SQL compares are over integers or decimals; windows and first rows have total orders.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quarry.functions import sequences, strings
+from quarry.operators import alignment, clustering, columns, consensus, joins, lengths, ordering, profile, sets, synth, taxonomy
+from quarry.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+class _Tables:
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+
+
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+@query("""
+WITH a AS (
+  SELECT source, doc_id, n_chars AS l, sum(n_chars) OVER w AS c, row_number() OVER w AS i, sum(n_chars) OVER (PARTITION BY source) AS s
+  FROM documents WINDOW w AS (PARTITION BY source ORDER BY n_chars, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+h AS (SELECT *, min(CASE WHEN c >= 0.5 * s THEN i END) OVER (PARTITION BY source) AS i50 FROM a),
+n AS (
+  SELECT source, max(CASE WHEN i = i50 THEN l END) AS n50_length, coalesce(arg_min(CASE WHEN i <> i50 AND c >= 0.1 * s THEN l END, CASE WHEN i <> i50 AND c >= 0.1 * s THEN i END), 0) AS n90_length
+  FROM h GROUP BY source)
+SELECT d.source, count(*) AS contigs, CAST(sum(n_chars) AS BIGINT) AS total_size_bp, min(n_chars) AS min_length, max(n_chars) AS max_length, avg(n_chars) AS avg_length,
+  median(n_chars) AS median_length, any_value(n50_length) AS n50_length, any_value(n90_length) AS n90_length
+FROM documents d JOIN n USING (source) GROUP BY d.source""")
+def assembly_stats(spark, d):
+    return lengths.length_stats(_Tables(spark, d).documents, "source", "n_chars", "doc_id")
+
+
+_STEPS = ", ".join(f"({t})" for t in lengths.THRESHOLDS)
+
+
+@query(f"""
+SELECT lang, min_length, count(*) AS num_contigs, CAST(sum(n_chars) AS BIGINT) AS total_length, 100.0 * sum(n_chars) / any_value(t) AS percent
+FROM documents JOIN (SELECT lang, sum(n_chars) AS t FROM documents GROUP BY lang) USING (lang), (VALUES {_STEPS}) AS s(min_length)
+WHERE n_chars >= min_length GROUP BY lang, min_length""")
+def size_distribution(spark, d):
+    return lengths.size_distribution(_Tables(spark, d).documents, "lang", "n_chars")
+
+
+@query("SELECT doc_id, n_chars FROM documents WHERE n_chars >= 1000")
+def length_filter(spark, d):
+    return _Tables(spark, d).documents.where(F.length("text") >= 1000).select("doc_id", "n_chars")
+
+
+@query("""SELECT l_orderkey AS tool_l_orderkey, l_linenumber AS tool_l_linenumber, l_partkey AS tool_l_partkey, l_quantity AS tool_l_quantity, l_discount AS tool_l_discount,
+  l_orderkey AS sequence_id FROM lineitem WHERE l_quantity >= 30 AND l_discount >= 0.07""")
+def score_len_filter(spark, d):
+    rows = _Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount")
+    rows = consensus.score_length_filter(rows, "l_quantity", "l_discount", 30, 0.07)
+    return columns.prefixed(rows, "tool_").withColumn("sequence_id", F.col("tool_l_orderkey"))
+
+
+@query("""
+SELECT c_custkey, regexp_replace(c_name || '|provirus_1_20', '\\|provir.+$', '') AS region_free, regexp_replace(c_name || '_1 1-20/30', '(.+)_\\d\\s.+$', '\\1') AS fragment_free,
+  split_part(split_part(c_name || '||x y', ' ', 1), '||', 1) AS clean, regexp_replace(c_name || ' some text', '\\s.*', '') AS bare, regexp_replace(c_name || '_12', '_\\d+$', '') AS contig
+FROM customer""")
+def identifier_cleaning(spark, d):
+    c, n = _Tables(spark, d).customer, F.col("c_name")
+    return c.select(
+        "c_custkey",
+        strings.strip_region(F.concat(n, F.lit("|provirus_1_20"))).alias("region_free"),
+        strings.strip_fragment(F.concat(n, F.lit("_1 1-20/30"))).alias("fragment_free"),
+        strings.clean_id(F.concat(n, F.lit("||x y"))).alias("clean"),
+        strings.drop_description(F.concat(n, F.lit(" some text"))).alias("bare"),
+        strings.contig_of_gene(F.concat(n, F.lit("_12"))).alias("contig"),
+    )
+
+
+@query("""
+SELECT page_id, regexp_replace(url, '^.*/', '') AS base, regexp_replace(regexp_replace(url, '^.*/', ''), '\\.[^.]*$', '') AS stem,
+  CASE WHEN len(string_split(url, '/')) >= 3 THEN string_split(url, '/')[-3] END AS third FROM pages""")
+def path_parts(spark, d):
+    u = F.col("url")
+    return _Tables(spark, d).pages.select("page_id", strings.base_name(u).alias("base"), strings.stem(u).alias("stem"), strings.path_part(u, 3).alias("third"))
+
+
+@query("""
+SELECT p_partkey, len(string_split(h, ' # ')) - 1 AS n_fields, string_split(h, ' # ')[1] AS gene, CAST(string_split(h, ' # ')[2] AS BIGINT) AS first_pos,
+  regexp_extract(h, '^(.*ID=)(\\d+)_(\\d+)(.*)$', 1) || '77_' || regexp_extract(h, '^(.*ID=)(\\d+)_(\\d+)(.*)$', 3) || regexp_extract(h, '^(.*ID=)(\\d+)_(\\d+)(.*)$', 4) AS renumbered
+FROM (SELECT p_partkey, 'c' || p_partkey || '_' || p_size || ' # ' || p_size || ' # ' || (p_size + 30) || ' # 1 # ID=' || p_partkey || '_' || p_size || ';x=y' AS h FROM part)""")
+def gene_headers(spark, d):
+    size, key = F.col("p_size").cast("string"), F.col("p_partkey").cast("string")
+    h = F.concat(F.lit("c"), key, F.lit("_"), size, F.lit(" # "), size, F.lit(" # "), (F.col("p_size") + 30).cast("string"), F.lit(" # 1 # ID="), key, F.lit("_"), size, F.lit(";x=y"))
+    f = strings.header_fields(F.col("h"))
+    return _Tables(spark, d).part.select("p_partkey", h.alias("h")).select(
+        "p_partkey", F.size(f).cast("long").alias("n_fields"), F.get(f, F.lit(0)).alias("gene"), F.get(f, F.lit(1)).cast("long").alias("first_pos"), strings.renumber_id(F.col("h"), F.lit(77)).alias("renumbered")
+    )
+
+
+@query("SELECT source AS sample_id, doc_id || '_' || source AS key, n_chars FROM documents WHERE source IN ('src0', 'src1', 'src2')")
+def suffix_key_union(spark, d):
+    docs = _Tables(spark, d).documents.select("doc_id", "n_chars", "source")
+    parts = [docs.where(F.col("source") == s).drop("source").withColumn("sample_id", F.lit(s)) for s in ("src0", "src1", "src2")]
+    return columns.suffixed_key(sets.loose_union(parts), "doc_id", "sample_id", "key").select("sample_id", "key", "n_chars")
+
+
+@query("""
+SELECT 'c' AS sample_id, c_custkey AS key, c_name AS name, c_acctbal AS balance, 'customer' AS source_file FROM customer
+UNION ALL SELECT 's', s_suppkey, s_name, s_acctbal, 'supplier' FROM supplier""")
+def strict_row_bind(spark, d):
+    t = _Tables(spark, d)
+    a = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    b = t.supplier.select(F.col("s_acctbal").alias("balance"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
+    return sets.strict_union([columns.with_origin(a, "customer", "c"), columns.with_origin(b, "supplier", "s")])
+
+
+@query("""
+SELECT coalesce(a.i, b.i) AS ord, c_custkey AS left_key, s_suppkey AS right_key FROM (SELECT row_number() OVER (ORDER BY c_custkey) AS i, c_custkey FROM customer) a
+FULL JOIN (SELECT row_number() OVER (ORDER BY s_suppkey) AS i, s_suppkey FROM supplier) b ON a.i = b.i""")
+def column_bind(spark, d):
+    t = _Tables(spark, d)
+    return joins.column_bind(t.customer.select("c_custkey"), t.supplier.select("s_suppkey"), ["c_custkey"], ["s_suppkey"]).select("ord", F.col("c_custkey").alias("left_key"), F.col("s_suppkey").alias("right_key"))
+
+
+@query("""SELECT c_custkey, c_mktsegment AS checkv_segment, o_orderkey AS tool_order, o_totalprice AS tool_price FROM customer LEFT JOIN orders ON c_custkey = o_custkey""")
+def left_fanout(spark, d):
+    t = _Tables(spark, d)
+    left = columns.prefixed_unless(t.customer.select("c_custkey", F.col("c_mktsegment").alias("checkv_segment")), "checkv_", keep=["c_custkey"])
+    right = t.orders.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("tool_order"), F.col("o_totalprice").alias("tool_price"))
+    return left.join(right, "c_custkey", "left")
+
+
+_KINDS = ("click", "purchase", "view")
+
+
+@query("""
+WITH k AS (SELECT DISTINCT event_type FROM events),
+c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type)
+SELECT coalesce(a.user_id, b.user_id, x.user_id) AS user_id, a.n AS first_n, CASE WHEN b.n <> 1 THEN b.n END AS second_n, x.n AS third_n
+FROM (SELECT * FROM c WHERE event_type = (SELECT min(event_type) FROM k)) a
+FULL JOIN (SELECT * FROM c WHERE event_type = (SELECT max(event_type) FROM k)) b ON a.user_id = b.user_id
+FULL JOIN (SELECT user_id, count(*) AS n FROM events WHERE value > 90 GROUP BY user_id) x ON x.user_id = coalesce(a.user_id, b.user_id)""")
+def outer_reduce_3(spark, d):
+    e = _Tables(spark, d).events
+    ends = e.agg(F.min("event_type").alias("lo"), F.max("event_type").alias("hi"))
+    both = e.join(F.broadcast(ends))  # one row
+    count = lambda rows, out: rows.groupBy("user_id").agg(F.count("*").alias(out))
+    out = joins.outer_reduce([count(both.where("event_type = lo"), "first_n"), count(both.where("event_type = hi"), "second_n"), count(e.where("value > 90"), "third_n")], "user_id")
+    out = columns.without(out.withColumn("subfamily_note", F.lit("x")), "subfamily")
+    return out.withColumn("second_n", F.when(F.col("second_n") != 1, F.col("second_n")))
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def semi_list(spark, d):
+    t = _Tables(spark, d)
+    return joins.in_list(t.documents.select("doc_id", "lang"), t.labels.where("quality = 1"), "doc_id")
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def anti_list(spark, d):
+    t = _Tables(spark, d)
+    return joins.not_in_list(t.documents.select("doc_id", "lang"), t.labels.where("quality = 1"), "doc_id")
+
+
+@query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
+def set_difference(spark, d):
+    t = _Tables(spark, d)
+    return sets.difference(t.documents, t.labels, "doc_id")
+
+
+@query("SELECT doc_id AS id, n_chars AS length FROM documents WHERE n_chars >= 500 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1) AND doc_id IN (SELECT doc_id FROM labels)")
+def sequence_admission(spark, d):
+    t = _Tables(spark, d)
+    seqs = t.documents.select(F.col("doc_id").alias("id"), F.col("n_chars").alias("length"))
+    ids = t.labels.select(F.col("doc_id").alias("id"), "toxic")
+    return joins.admitted(seqs, 500, ids.where("toxic = 1"), ids)
+
+
+@query("""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_suppkey, l_quantity) AS i FROM lineitem WHERE l_quantity > 45)
+SELECT p_partkey, coalesce(CAST(l_orderkey AS VARCHAR), 'No hit') AS best_hit, coalesce(l_extendedprice, 0) AS score FROM part LEFT JOIN (SELECT * FROM r WHERE i = 1) ON p_partkey = l_partkey""")
+def best_hit(spark, d):
+    t = _Tables(spark, d)
+    hits = t.lineitem.where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"), F.col("l_extendedprice").alias("score"), "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", F.col("l_orderkey").cast("string").alias("best_hit"))
+    return joins.best_hit(t.part.select("p_partkey"), hits, "p_partkey", "score", ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"], ["best_hit", "score"], {"best_hit": "No hit", "score": 0.0})
+
+
+@query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS i FROM documents) WHERE i = 1")
+def keep_first(spark, d):
+    return ordering.keep_first(_Tables(spark, d).documents, ["text"], ["doc_id"]).select("doc_id", "source")
+
+
+_EVENTS = "SELECT *, lag(event_type) OVER w AS p, lead(event_type) OVER w AS q, row_number() OVER w AS i FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"
+
+
+@query(f"SELECT event_id, user_id, event_type FROM ({_EVENTS}) WHERE p IS DISTINCT FROM event_type OR i = 1")
+def adjacent_uniq(spark, d):
+    return ordering.adjacent_distinct(_Tables(spark, d).events, ["user_id"], ["ts", "event_id"], "event_type").select("event_id", "user_id", "event_type")
+
+
+@query(f"SELECT event_id, user_id, event_type FROM ({_EVENTS}) WHERE (p IS NULL OR p <> event_type) AND (q IS NULL OR q <> event_type)")
+def adjacent_single(spark, d):
+    return ordering.adjacent_single(_Tables(spark, d).events, ["user_id"], ["ts", "event_id"], "event_type").select("event_id", "user_id", "event_type")
+
+
+@query(f"""SELECT user_id, CAST(run AS BIGINT) AS run, event_type, count(*) AS rows FROM (
+  SELECT *, sum(CASE WHEN i > 1 AND p = event_type THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM ({_EVENTS})) GROUP BY user_id, run, event_type""")
+def gaps_islands_blocks(spark, d):
+    return alignment.blocks(_Tables(spark, d).events, ["user_id"], ["ts", "event_id"], "event_type")
+
+
+_HSP = """SELECT l_suppkey, l_returnflag, l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT) AS alen, CAST(round(l_discount * 100) AS BIGINT) AS disc, l_partkey % 1000 AS s,
+  l_partkey % 1000 + CAST(l_quantity AS BIGINT) AS e, CAST(round(l_tax * 100) AS BIGINT) AS tax, l_extendedprice FROM lineitem"""
+
+
+def _hsps(t: _Tables) -> DataFrame:
+    q = F.col("l_quantity").cast("long")
+    start = F.pmod("l_partkey", F.lit(1000))
+    return t.lineitem.select("l_suppkey", "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", q.alias("alen"), F.round(F.col("l_discount") * 100).cast("long").alias("disc"), start.alias("s"), (start + q).alias("e"), F.round(F.col("l_tax") * 100).cast("long").alias("tax"), "l_extendedprice")
+
+
+_ORDER = "l_orderkey, l_linenumber, l_partkey, alen, l_extendedprice"
+
+
+@query(f"""
+WITH a AS (SELECT *, coalesce(sum(alen) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior FROM ({_HSP}) WHERE tax <= 4 WINDOW w AS (PARTITION BY l_suppkey ORDER BY {_ORDER})),
+b AS (SELECT *, max(CASE WHEN prior >= 500 OR alen + prior >= 1.10 * 500 THEN 1 ELSE 0 END) OVER (PARTITION BY l_suppkey ORDER BY {_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop FROM a)
+SELECT l_suppkey, count(*) AS kept, CAST(sum(alen) AS BIGINT) AS covered FROM b WHERE stop = 0 GROUP BY l_suppkey""")
+def early_stop_prefix(spark, d):
+    rows = _hsps(_Tables(spark, d))
+    kept = alignment.early_stop(rows, ["l_suppkey"], _ORDER.split(", "), "alen", F.lit(500), max_evalue=4, evalue="tax")
+    return kept.groupBy("l_suppkey").agg(F.count("*").alias("kept"), F.sum("alen").alias("covered"))
+
+
+@query(f"SELECT l_partkey, count(*) AS num_alns, sum(alen * (100 - disc)) / sum(alen) AS ani FROM ({_HSP}) GROUP BY l_partkey")
+def weighted_identity(spark, d):
+    rows = _hsps(_Tables(spark, d)).withColumn("pid", 100 - F.col("disc"))
+    return alignment.weighted_identity(rows, ["l_partkey"], "alen", "pid")
+
+
+@query(f"""SELECT l_suppkey, CAST(sum(greatest(0, e - greatest(s, coalesce(p + 1, s)) + 1)) AS BIGINT) AS covered FROM (
+  SELECT *, max(e) OVER (PARTITION BY l_suppkey ORDER BY s, e, {_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM ({_HSP})) GROUP BY l_suppkey""")
+def interval_coverage(spark, d):
+    return alignment.covered_length(_hsps(_Tables(spark, d)), ["l_suppkey"], "s", "e", _ORDER.split(", "))
+
+
+@query(f"""
+WITH a AS (SELECT *, e - s + 1 AS aln, coalesce(sum(e - s + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior FROM ({_HSP}) WHERE tax <= 4
+  WINDOW w AS (PARTITION BY l_suppkey, l_returnflag ORDER BY {_ORDER})),
+b AS (SELECT *, max(CASE WHEN prior >= 900 OR aln + prior >= 1.10 * 900 THEN 1 ELSE 0 END) OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY {_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop FROM a),
+k AS (SELECT *, max(e) OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY s, e, {_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM b WHERE stop = 0)
+SELECT l_suppkey AS qname, l_returnflag AS tname, count(*) AS num_alns, round(sum(alen * (100 - disc)) / sum(alen), 2) AS pid,
+  round(100.0 * CAST(sum(greatest(0, e - greatest(s, coalesce(p + 1, s)) + 1)) AS DOUBLE) / 900, 2) AS qcov, round(100.0 * CAST(sum(greatest(0, e - greatest(s, coalesce(p + 1, s)) + 1)) AS DOUBLE) / 1200, 2) AS tcov
+FROM k GROUP BY l_suppkey, l_returnflag""")
+def pair_ani(spark, d):
+    rows = _hsps(_Tables(spark, d)).select(
+        F.col("l_suppkey").alias("qname"), F.col("l_returnflag").alias("tname"), (100 - F.col("disc")).alias("pid"), F.col("alen").alias("len"), F.col("e").alias("qstart"), F.col("s").alias("qend"),
+        F.col("s").alias("tstart"), F.col("e").alias("tend"), F.when(F.col("tax") <= 4, 0.0).otherwise(1.0).alias("evalue"), F.lit(900.0).alias("qlen"), F.lit(1200.0).alias("tlen"), "l_orderkey", "l_linenumber", "l_partkey", "alen", "l_extendedprice")
+    return alignment.pair_identity(rows, _ORDER.split(", "))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END AS hit_score, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END + CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS provirus_hit_score,
+  CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'Provirus (both)' WHEN o_orderstatus = 'F' THEN 'Provirus (A)' WHEN o_orderpriority = '1-URGENT' THEN 'Provirus (B)' ELSE 'Virus' END AS type FROM orders""")
+def consensus_label(spark, d):
+    o = _Tables(spark, d).orders
+    a, b = F.col("o_orderstatus") == "F", F.col("o_orderpriority") == "1-URGENT"
+    one = lambda c: F.when(c, 1).otherwise(0)
+    return o.select("o_orderkey", consensus.hit_score(F.col("o_totalprice"), 200000).alias("hit_score"), (one(a) + one(b)).alias("provirus_hit_score"), consensus.vote_label(a, b, "Virus", "Provirus (both)", "Provirus (A)", "Provirus (B)").alias("type"))
+
+
+@query("""
+WITH a AS (SELECT *, CASE WHEN l_linestatus = 'F' THEN 'Virus' ELSE 'Provirus' END AS type, nullif(l_partkey % 12, 11) AS contamination, nullif('w' || (l_suppkey % 7), 'w6') AS warning,
+  CASE l_returnflag WHEN 'A' THEN 'Low-quality' WHEN 'N' THEN NULL ELSE 'High-quality' END AS quality, l_linenumber - 1 AS hallmarks, 1 - l_discount AS score FROM lineitem),
+b AS (SELECT * FROM a WHERE type <> 'Virus' OR contamination <= 10),
+q AS (SELECT quantile_cont(l_extendedprice, 0.9) AS cut FROM b),
+c AS (SELECT *, coalesce(quality IN ('Not-determined', 'Low-quality'), false) AS poor FROM b, q WHERE warning IS NULL OR warning NOT IN ('w1', 'w2')),
+e AS (SELECT * FROM c WHERE NOT poor OR (hallmarks = 0 AND score >= 0.99) OR (hallmarks BETWEEN 1 AND 5 AND score >= 0.95) OR (hallmarks > 5 AND score >= 0.90) OR l_extendedprice >= cut)
+SELECT l_orderkey, l_linenumber, type, quality, score FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY poor, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS i FROM e) WHERE i = 1""")
+def consensus_filter(spark, d):
+    rows = _Tables(spark, d).lineitem
+    rows = rows.withColumns({
+        "type": F.when(F.col("l_linestatus") == "F", "Virus").otherwise("Provirus"), "contamination": F.nullif(F.pmod("l_partkey", F.lit(12)), F.lit(11)), "warning": F.nullif(F.concat(F.lit("w"), F.pmod("l_suppkey", F.lit(7))), F.lit("w6")),
+        "quality": F.when(F.col("l_returnflag") == "A", "Low-quality").when(F.col("l_returnflag") != "N", "High-quality"), "hallmarks": F.col("l_linenumber") - 1, "score": 1 - F.col("l_discount")})
+    names = {"label": "type", "contamination": "contamination", "warnings": "warning", "quality": "quality", "hallmarks": "hallmarks", "score": "score", "enrichment": "l_extendedprice"}
+    out = consensus.consensus(rows, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], names, excluded=["w1", "w2"])
+    return out.select("l_orderkey", "l_linenumber", "type", "quality", "score")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders, (SELECT quantile_cont(o_totalprice, 0.9) AS cut FROM orders) WHERE o_totalprice >= cut")
+def quantile_threshold(spark, d):
+    o = _Tables(spark, d).orders
+    cut = consensus.exact_quantile(o, "o_totalprice", 0.9)
+    return o.join(F.broadcast(cut), F.col("o_totalprice") >= F.col("cut")).select("o_orderkey", "o_totalprice")  # one row
+
+
+@query("SELECT p_partkey, nullif(p_brand, 'Brand#11') AS brand FROM part WHERE nullif(p_brand, 'Brand#11') IS NULL OR nullif(p_brand, 'Brand#11') NOT IN ('Brand#12', 'Brand#13')")
+def exclusion_list(spark, d):
+    rows = _Tables(spark, d).part.select("p_partkey", F.nullif("p_brand", F.lit("Brand#11")).alias("brand"))
+    return rows.where(consensus.not_excluded(F.col("brand"), ["Brand#12", "Brand#13"]))
+
+
+@query("""
+SELECT c_custkey, p[1] AS virus, p[2] AS realm, p[3] AS kingdom, p[4] AS phylum, p[5] AS class, p[6] AS "order", p[7] AS family FROM (
+  SELECT c_custkey, string_split(r_name || ';' || n_name || ';' || c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN ';a;b;c;d' ELSE '' END, ';') AS p
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)""")
+def lineage_split(spark, d):
+    t = _Tables(spark, d)
+    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = rows.select("c_custkey", F.concat(F.concat_ws(";", "r_name", "n_name", "c_mktsegment"), F.when(F.col("c_custkey") % 2 == 0, ";a;b;c;d").otherwise("")).alias("lineage"))
+    return taxonomy.split_lineage(rows, "lineage").drop("lineage")
+
+
+_CLADES = """SELECT DISTINCT 'k__' || r_name AS clade FROM region UNION ALL SELECT 'k__' || r_name || '|p__' || n_name FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT DISTINCT 'k__' || r_name || '|p__' || n_name || '|c__' || c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+
+
+@query(f"""WITH x AS ({_CLADES}) SELECT clade, CASE WHEN clade LIKE '%|c\\_\\_%' ESCAPE '\\' THEN 'c' WHEN clade LIKE '%|p\\_\\_%' ESCAPE '\\' THEN 'p' ELSE 'k' END AS rank FROM x
+  WHERE clade NOT LIKE '%|c\\_\\_%' ESCAPE '\\'""")
+def rank_filter(spark, d):
+    t = _Tables(spark, d)
+    pair = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    k = t.region.select(F.concat(F.lit("k__"), "r_name").alias("clade")).distinct()
+    p = pair.select(F.concat(F.lit("k__"), "r_name", F.lit("|p__"), "n_name").alias("clade"))
+    c = t.customer.join(pair, F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("k__"), "r_name", F.lit("|p__"), "n_name", F.lit("|c__"), "c_mktsegment").alias("clade")).distinct()
+    every = k.union(p).union(c)
+    kept = [taxonomy.of_rank(every, "clade", r).withColumn("rank", F.lit(r)) for r in ("k", "p")]
+    return sets.strict_union(kept)
+
+
+@query("""
+WITH h AS (SELECT l_suppkey AS contig, p_type AS genus, p_brand AS subfamily, CAST(p_size % 3 AS VARCHAR) AS family, CAST(NULL AS VARCHAR) AS "order" FROM lineitem JOIN part ON l_partkey = p_partkey),
+long AS (SELECT contig, 0 AS level, 'genus' AS rank, genus AS taxon FROM h UNION ALL SELECT contig, 1, 'subfamily', subfamily FROM h UNION ALL SELECT contig, 2, 'family', family FROM h),
+c AS (SELECT contig, level, rank, taxon, count(*) AS votes FROM long WHERE taxon IS NOT NULL GROUP BY ALL),
+t AS (SELECT contig, count(*) AS total_prot FROM h GROUP BY contig),
+f(taxon, factor, avg_cds, std_cds) AS (SELECT DISTINCT p_brand, 0.2, 1000.0, 100.0 FROM part UNION ALL VALUES ('0', 0.5, 1000.0, 1.0), ('1', 0.55, 1000.0, 1.0)),
+r AS (
+  SELECT c.*, sum(votes) OVER (PARTITION BY contig, level) AS total, coalesce(factor, 1.0) * 0.6 AS share, factor IS NOT NULL AND total_prot <= avg_cds + 2 * std_cds AS fits
+  FROM c JOIN t USING (contig) LEFT JOIN f USING (taxon)),
+o AS (SELECT *, votes / total >= share AS over_it, CAST(ceil(share * total) AS BIGINT) - votes AS lacks FROM r),
+e AS (
+  SELECT contig, level, rank, any_value(total) AS total, bool_or(over_it) AS any_over, arg_min(taxon, (-votes, taxon)) FILTER (over_it AND fits) AS win, max(votes) FILTER (over_it AND fits) AS win_votes,
+    min((lacks, taxon, votes)) FILTER (NOT over_it) AS u FROM o GROUP BY contig, level, rank),
+dec AS (SELECT *, CASE WHEN win IS NOT NULL THEN 'taxon' WHEN NOT any_over THEN 'deficit' ELSE 'none' END AS decision FROM e),
+best AS (SELECT *, row_number() OVER (PARTITION BY contig ORDER BY CASE WHEN decision = 'taxon' THEN 0 ELSE 1 END, CASE WHEN decision = 'taxon' THEN level ELSE -level END) AS i FROM dec)
+SELECT contig, rank, CASE decision WHEN 'taxon' THEN win WHEN 'deficit' THEN CAST(u[1] AS VARCHAR) END AS taxon, CAST(CASE decision WHEN 'taxon' THEN win_votes WHEN 'deficit' THEN u[3] END AS BIGINT) AS votes,
+  CAST(total AS BIGINT) AS total, decision FROM best WHERE i = 1""")
+def majority_vote(spark, d):
+    t = _Tables(spark, d)
+    h = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").alias("contig"), F.col("p_type").alias("genus"), F.col("p_brand").alias("subfamily"), F.pmod("p_size", F.lit(3)).cast("string").alias("family"), F.lit(None).cast("string").alias("order"))
+    totals = h.groupBy("contig").agg(F.count("*").alias("total_prot"))
+    more = spark.createDataFrame([("0", 0.5, 1000.0, 1.0), ("1", 0.55, 1000.0, 1.0)], "taxon string, factor double, avg_cds double, std_cds double")
+    factors = t.part.select(F.col("p_brand").alias("taxon")).distinct().select("taxon", F.lit(0.2).alias("factor"), F.lit(1000.0).alias("avg_cds"), F.lit(100.0).alias("std_cds")).unionByName(more)
+    return taxonomy.majority_vote(h, "contig", totals, factors)
+
+
+@query("""
+WITH RECURSIVE tree AS (SELECT 1000 + r_regionkey AS taxid, r_name AS name, 'order' AS rank, 1000 + r_regionkey AS parent FROM region UNION ALL SELECT n_nationkey, n_name, 'genus', 1000 + n_regionkey FROM nation)
+SELECT t.taxid, t.name, t.rank, CASE WHEN t.rank = 'genus' THEN t.name END AS genus, CAST(NULL AS VARCHAR) AS subfamily, CAST(NULL AS VARCHAR) AS family,
+  CASE WHEN t.rank = 'order' THEN t.name ELSE p.name END AS "order", CAST(NULL AS VARCHAR) AS class FROM tree t JOIN tree p ON t.parent = p.taxid""")
+def lineage_closure(spark, d):
+    t = _Tables(spark, d)
+    top = t.region.select((F.col("r_regionkey") + 1000).alias("taxid"), F.col("r_name").alias("name"), F.lit("order").alias("rank"), (F.col("r_regionkey") + 1000).alias("parent"))
+    low = t.nation.select(F.col("n_nationkey").alias("taxid"), F.col("n_name").alias("name"), F.lit("genus").alias("rank"), (F.col("n_regionkey") + 1000).alias("parent"))
+    return taxonomy.lineages(top.unionByName(low))
+
+
+@query("SELECT c_nationkey AS assembly, count(*) AS n, string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY c_custkey) AS members FROM customer GROUP BY c_nationkey")
+def group_collect(spark, d):
+    c = _Tables(spark, d).customer
+    return c.groupBy(F.col("c_nationkey").alias("assembly")).agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("c_custkey")), lambda x: x.cast("string")), ",").alias("members"))
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
+def duplicate_check(spark, d):
+    return _Tables(spark, d).lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("copies")).where("copies > 1")
+
+
+@query("""
+SELECT c_custkey, coalesce(nullif(trim(CASE WHEN c_custkey % 3 = 0 THEN '  ' ELSE c_name END), ''), 'acc' || c_custkey) AS sample_id, coalesce(nullif(c_mktsegment, 'BUILDING'), nullif(trim(CASE WHEN c_custkey % 3 = 0 THEN '  ' ELSE c_name END), ''), 'acc' || c_custkey) AS assembly,
+  '/data/' || coalesce(nullif(trim(CASE WHEN c_custkey % 3 = 0 THEN '  ' ELSE c_name END), ''), 'acc' || c_custkey) || '_1.fastq.gz' AS R1 FROM customer""")
+def coalesce_defaults(spark, d):
+    c = _Tables(spark, d).customer
+    none = F.lit(None).cast("string")
+    rows = c.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "  ").otherwise(F.col("c_name")).alias("sample_id"), F.concat(F.lit("acc"), "c_custkey").alias("accession"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("assembly"), none.alias("R1"), none.alias("R2"))
+    return tables.completed_samples(rows, "/data/").select("c_custkey", "sample_id", "assembly", "R1")
+
+
+@query("SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum, max(CAST(json_extract(props, '$.k') AS BIGINT)) AS k_max FROM events GROUP BY event_type")
+def json_extract(spark, d):
+    k = F.from_json("props", T.StructType([T.StructField("k", T.LongType())]))["k"]
+    return _Tables(spark, d).events.groupBy("event_type").agg(F.sum(k).alias("k_sum"), F.max(k).alias("k_max"))
+
+
+@query("SELECT doc_id AS seq_id, length(text) AS length, CASE WHEN length(text) > 0 THEN 100.0 * (length(text) - length(translate(upper(text), 'GC', ''))) / length(text) END AS gc_percent FROM documents")
+def gc_content(spark, d):
+    return _Tables(spark, d).documents.select(F.col("doc_id").alias("seq_id"), F.length("text").cast("long").alias("length"), sequences.gc_percent(F.col("text")).alias("gc_percent"))
+
+
+@query("""
+SELECT doc_id, piece, piece * 1000 AS start, CASE WHEN piece = n - 1 THEN length(text) ELSE (piece + 1) * 1000 END AS "end" FROM (
+  SELECT doc_id, text, greatest(length(text) // 1000, 1) AS n, unnest(range(0, greatest(length(text) // 1000, 1))) AS piece FROM documents)""")
+def cut_up(spark, d):
+    return sequences.cut_up(_Tables(spark, d).documents.select("doc_id", "text"), "text", 1000).select("doc_id", "piece", "start", "end")
+
+
+@query("""SELECT contig, bin FROM (SELECT l_orderkey AS contig, l_returnflag AS bin, row_number() OVER (PARTITION BY l_orderkey ORDER BY count(*) DESC, l_returnflag) AS i FROM lineitem GROUP BY l_orderkey, l_returnflag) WHERE i = 1""")
+def merge_cut_up(spark, d):
+    return sequences.merge_cut_up(_Tables(spark, d).lineitem.select(F.col("l_orderkey").alias("contig"), F.col("l_returnflag").alias("bin")))
+
+
+@query("""WITH v AS (SELECT user_id, event_type, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS v FROM events GROUP BY user_id, event_type)
+SELECT user_id, event_type, 1e6 * v / sum(v) OVER (PARTITION BY event_type) AS cpm FROM v""")
+def cpm_renorm(spark, d):
+    v = _Tables(spark, d).events.groupBy("user_id", "event_type").agg(F.sum(F.round(F.col("value") * 100).cast("long")).alias("v"))
+    return profile.per_million(v, "event_type", "v").select("user_id", "event_type", "cpm")
+
+
+@query("""WITH v AS (SELECT l_partkey, l_returnflag, count(*) AS reads, any_value(p_size) AS len FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_partkey, l_returnflag)
+SELECT l_partkey, l_returnflag, reads / (len / 1e3) / (sum(reads) OVER s / 1e6) AS rpkm, round(1e6 * (reads / len) / sum(reads / len) OVER s, 6) AS tpm FROM v WINDOW s AS (PARTITION BY l_returnflag)""")
+def tpm_rpkm(spark, d):
+    t = _Tables(spark, d)
+    v = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_partkey", "l_returnflag").agg(F.count("*").alias("reads"), F.first("p_size").alias("len"))
+    return profile.abundance(v, "l_returnflag", "reads", "len").select("l_partkey", "l_returnflag", "rpkm", F.round("tpm", 6).alias("tpm"))
+
+
+@query("""
+WITH v AS (SELECT CASE WHEN l_partkey % 50 = 0 THEN 'UNMAPPED' ELSE CAST(l_partkey AS VARCHAR) END AS feature, l_returnflag AS sample, CAST(l_quantity AS BIGINT) AS value FROM lineitem),
+g AS (SELECT CAST(p_partkey AS VARCHAR) AS feature, p_brand AS grp FROM part WHERE p_size > 10),
+s AS (SELECT CASE WHEN v.feature = 'UNMAPPED' THEN 'UNMAPPED' ELSE coalesce(grp, 'UNGROUPED') END AS grp, sample, CAST(sum(value) AS BIGINT) AS value FROM v LEFT JOIN g ON v.feature = g.feature GROUP BY ALL)
+SELECT CASE WHEN grp LIKE 'Brand#1%' THEN grp || ': name of ' || grp ELSE grp END AS "group", sample, value FROM s""")
+def regroup_sum(spark, d):
+    t = _Tables(spark, d)
+    v = t.lineitem.select(F.when(F.col("l_partkey") % 50 == 0, "UNMAPPED").otherwise(F.col("l_partkey").cast("string")).alias("feature"), F.col("l_returnflag").alias("sample"), F.col("l_quantity").cast("long").alias("value"))
+    g = t.part.where("p_size > 10").select(F.col("p_partkey").cast("string").alias("feature"), F.col("p_brand").alias("group"))
+    names = t.part.where(F.col("p_brand").startswith("Brand#1")).select(F.col("p_brand").alias("id")).distinct().withColumn("name", F.concat(F.lit("name of "), "id"))
+    return profile.renamed(profile.regrouped(v, g, "feature", "sample", "value"), names, "group")
+
+
+@query("SELECT CASE WHEN contains(f, '|') THEN 'stratified' ELSE 'community' END AS part, count(*) AS rows, CAST(sum(p_size) AS BIGINT) AS total FROM (SELECT CASE WHEN p_partkey % 3 = 0 THEN p_brand || '|' || p_type ELSE p_brand END AS f, p_size FROM part) GROUP BY ALL")
+def stratified_split(spark, d):
+    p = _Tables(spark, d).part.select(F.when(F.col("p_partkey") % 3 == 0, F.concat("p_brand", F.lit("|"), "p_type")).otherwise(F.col("p_brand")).alias("f"), "p_size")
+    both = zip(("stratified", "community"), profile.stratified(p, "f"))
+    return sets.strict_union([x.groupBy(F.lit(n).alias("part")).agg(F.count("*").alias("rows"), F.sum("p_size").alias("total")) for n, x in both])
+
+
+@query("""SELECT n_name AS feature, coalesce(sum(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 1 END), 0)::BIGINT AS "AUTOMOBILE", coalesce(sum(CASE WHEN c_mktsegment = 'BUILDING' THEN 1 END), 0)::BIGINT AS "BUILDING",
+  coalesce(sum(CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 END), 0)::BIGINT AS "MACHINERY" FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
+def profile_pivot(spark, d):
+    t = _Tables(spark, d)
+    long = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("feature"), F.col("c_mktsegment").alias("sample"), F.lit(1).cast("long").alias("value"))
+    return profile.wide(long, "feature", "sample", "value", ["AUTOMOBILE", "BUILDING", "MACHINERY"])
+
+
+@query("SELECT o_custkey, o_orderkey, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 3")
+def topk_per_group(spark, d):
+    return ordering.top_k(_Tables(spark, d).orders, ["o_custkey"], [F.desc("o_totalprice"), "o_orderkey"], 3).select("o_custkey", "o_orderkey", "rank")
+
+
+@query("SELECT conv_id % 8 AS chunk, conv_id, turn, CAST(sum(CASE WHEN turn = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id % 8 ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS number FROM conversations")
+def renumber(spark, d):
+    c = _Tables(spark, d).conversations.select(F.pmod("conv_id", F.lit(8)).alias("chunk"), "conv_id", "turn")
+    return ordering.counter(c, ["chunk"], ["conv_id", "turn"], F.col("turn") == 0, "number")
+
+
+@query("SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal, c_custkey) AS ord FROM customer")
+def ordinals(spark, d):
+    return ordering.ordinal(_Tables(spark, d).customer.select("c_custkey", "c_acctbal"), ["c_acctbal", "c_custkey"]).select("c_custkey", "ord")
+
+
+@query("SELECT c_custkey, (row_number() OVER (ORDER BY c_custkey) - 1) % 7 + 1 AS part FROM customer")
+def balanced_parts(spark, d):
+    return clustering.balanced_parts(_Tables(spark, d).customer.select("c_custkey"), ["c_custkey"], 7)
+
+
+#: Similar sequences for the clustering queries: documents that share a line of at least 20 characters.
+_EDGES = """
+line AS (SELECT DISTINCT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents),
+ln AS (SELECT l, doc_id FROM line WHERE length(l) >= 20),
+pr AS (SELECT DISTINCT a.doc_id AS src, b.doc_id AS dst FROM ln a JOIN ln b ON a.l = b.l AND a.doc_id <> b.doc_id)"""
+
+
+def _edges(t: _Tables) -> tuple[DataFrame, DataFrame]:
+    docs = t.documents
+    lines = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("l")).where(F.length("l") >= 20)
+    a, b = lines.select("l", F.col("doc_id").alias("src")), lines.select("l", F.col("doc_id").alias("dst"))
+    nodes = clustering.ranked(docs.select(F.col("doc_id").alias("id"), "n_chars"), [F.desc("n_chars"), "id"]).select("id", "place")
+    return nodes, a.join(b, "l").where("src <> dst").select("src", "dst").distinct()
+
+
+@query(f"""
+WITH RECURSIVE {_EDGES},
+nd AS (SELECT doc_id AS id, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS place FROM documents),
+out_n AS (SELECT n.id, n.place, coalesce(list(p.dst) FILTER (p.dst IS NOT NULL), []) AS nb FROM nd n LEFT JOIN pr p ON n.id = p.src GROUP BY n.id, n.place),
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS place, CAST([] AS BIGINT[]) AS covered, CAST([] AS BIGINT[]) AS heads
+  UNION ALL
+  SELECT o.place, CASE WHEN list_contains(w.covered, o.id) THEN w.covered ELSE list_concat(w.covered, o.nb) END, CASE WHEN list_contains(w.covered, o.id) THEN w.heads ELSE list_append(w.heads, o.id) END
+  FROM walk w JOIN out_n o ON o.place = w.place + 1),
+hd AS (SELECT unnest(heads) AS id FROM walk WHERE place = (SELECT max(place) FROM walk)),
+own AS (SELECT p.dst AS id, arg_min(p.src, n.place) AS centroid FROM pr p JOIN hd ON p.src = hd.id JOIN nd n ON n.id = p.src GROUP BY p.dst)
+SELECT nd.id, CASE WHEN hd.id IS NOT NULL THEN nd.id ELSE own.centroid END AS centroid FROM nd LEFT JOIN hd USING (id) LEFT JOIN own USING (id)""")
+def greedy_cluster(spark, d):
+    return clustering.greedy_centroids(*_edges(_Tables(spark, d)))
+
+
+@query()
+def tournament_cluster(spark, d):
+    nodes, edges = _edges(_Tables(spark, d))
+    return clustering.tournament(nodes, edges, 3)
+
+
+@query()
+def mock_evaluation(spark, d):
+    """Shared k-mers, greedy clustering and agreement with the known clusters, on synthetic contigs."""
+    contigs = synth.mock_contigs(spark, 60, mean_log=6.0, most=2000)
+    seqs = contigs.select(F.col("sequence_id").alias("id"), "seq", "length")
+    near = clustering.shared_kmers(seqs, 16, 20)
+    edges = near.select("src", "dst").union(near.select("dst", "src"))
+    found = clustering.greedy_centroids(clustering.ranked(seqs.drop("seq"), [F.desc("length"), "id"]), edges)
+    return clustering.pair_agreement(contigs.select(F.col("sequence_id").alias("id"), "true_cluster"), found)
+
+
+@query("SELECT doc_id AS id, 'd' || doc_id AS description, regexp_replace(text, '\\s', '', 'g') AS seq FROM documents WHERE text NOT LIKE '%>%'")
+def fasta_roundtrip(spark, d):
+    """Documents written as FASTA and scanned again."""
+    import uuid
+
+    from quarry.sources import fasta
+    from quarry.storage import shared_dir
+
+    docs = _Tables(spark, d).documents.where(~F.col("text").contains(">"))
+    target = f"{shared_dir(spark)}/fasta-{uuid.uuid4().hex}"
+    fasta.write(docs.select(F.concat(F.lit("d"), "doc_id").alias("id"), F.col("text").alias("seq")), target)
+    back = fasta.scan(spark, target)
+    return back.select(F.substring("id", 2, 20).cast("long").alias("id"), "description", "seq")
+
+
+@query("SELECT event_type, date_trunc('day', ts) AS day, count(*) AS events FROM events GROUP BY ALL")
+def stream_union(spark, d):
+    """Events read as a stream of files, appended to a table, and counted by day."""
+    import uuid
+
+    from quarry.storage import shared_dir
+    from quarry.streaming import sources
+
+    base, path = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}", f"{d}/events.parquet"
+    rows = sources.arriving(spark, d, spark.read.parquet(path).schema, pathGlobFilter="events.parquet")
+    sources.append(rows.select("event_type", "ts"), f"{base}/table", f"{base}/state").awaitTermination()
+    return spark.read.schema("event_type string, ts timestamp").parquet(f"{base}/table").groupBy("event_type", F.date_trunc("day", "ts").alias("day")).agg(F.count("*").alias("events"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return assembly_stats(spark, sf_dir)
