@@ -74,8 +74,8 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shing
     small = common.broadcast_if_small(prefix, prefix.count(), 400)
     cands = hits.join(small, ["gram", "size"]).select("doc_id", (F.col("at") - F.col("off")).alias("s"), "n", "words", "item_ids").where("s >= 0")
     grouped = common.materialise(cands.groupBy("doc_id").agg(F.collect_set(F.struct("s", "n", "words", "item_ids")).alias("c")), "candidates")
-    near = common.broadcast_if_small(grouped, grouped.count(), 4000)
-    texts = docs.join(near.withColumnRenamed("doc_id", "_d"), F.col("doc_id") == F.col("_d")).select("doc_id", common.words(F.col("text")).alias("t"), "c")
+    # candidates grow with the documents: joined by shuffle at every size
+    texts = docs.join(grouped.withColumnRenamed("doc_id", "_d").hint("merge"), F.col("doc_id") == F.col("_d")).select("doc_id", common.words(F.col("text")).alias("t"), "c")
     sure = common.let(F.col("t"), lambda t: F.filter("c", lambda x: (x.s + x.n <= F.size(t)) & (F.slice(t, x.s + 1, x.n) == x.words)))
     return (
         texts.select("doc_id", sure.alias("c"))
