@@ -112,14 +112,19 @@ def features(texts, words: np.ndarray, shapes: np.ndarray, codes: Codes) -> np.n
 
 
 def _context_sums(texts, codes: Codes, index: np.ndarray, reach: int = 2) -> np.ndarray:
-    out = np.zeros((WORDS, DIM), np.float32)
-    for text in texts:
-        w, _ = codes.of((text or "").split())
-        for d in range(1, reach + 1):
-            if len(w) > d:
-                np.add.at(out, w[d:], index[w[:-d]])
-                np.add.at(out, w[:-d], index[w[d:]])
-    return out
+    """For each word row the sum of its neighbours' index vectors, through their few non-zero entries."""
+    gap = np.full(reach, -1, np.int64)
+    flat = np.concatenate([gap, *[x for t in texts for x in (codes.of((t or "").split())[0], gap)]])
+    at = np.argsort(index == 0, axis=1, kind="stable")[:, :NONZERO]
+    sign = np.take_along_axis(index, at, 1)
+    out = np.zeros(WORDS * DIM)
+    for d in range(1, reach + 1):
+        for word, near in ((flat[d:], flat[:-d]), (flat[:-d], flat[d:])):
+            both = (word >= 0) & (near >= 0)
+            word, near = word[both], near[both]
+            for k in range(NONZERO):
+                out += np.bincount(word * DIM + at[near, k], weights=sign[near, k], minlength=WORDS * DIM)
+    return out.reshape(WORDS, DIM).astype(np.float32)
 
 
 class Network:
@@ -195,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, tasks: int =
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
     sums = np.zeros((WORDS, DIM))
-    for r in sample.coalesce(tasks).mapInArrow(contexts, "sums binary").toLocalIterator():  # one matrix of fixed size for each of the tasks
+    for r in sample.coalesce(tasks).mapInArrow(contexts, "sums binary").collect():  # one matrix of fixed size for each of the tasks
         sums += np.frombuffer(r[0], np.float32).reshape(WORDS, DIM)
     norm = np.linalg.norm(sums, axis=1, keepdims=True)
     words = (index + 0.5 * sums / np.maximum(norm, 1e-6)).astype(np.float32)
