@@ -189,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, tasks: int =
     """A model of labels.quality, from at most ``rows`` labelled documents outside the held-out fold."""
     known = labels.where(F.col("quality").isNotNull() & (_fold(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumnRenamed("doc_id", "_d")
-    sample = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).select("doc_id", "text", F.col("quality").cast("double").alias("quality"))
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).select("doc_id", "text", F.col("quality").cast("double").alias("quality"))
     sample = common.materialise(sample.repartition(tasks, "doc_id"), "labelled")
     index, shapes = index_vectors(WORDS, DIM, SEED), index_vectors(SHAPES, SHAPE_DIM, SEED + 1)
 

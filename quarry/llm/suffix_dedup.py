@@ -332,8 +332,8 @@ def _spans_of(value) -> np.ndarray:
 
 
 def with_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """docs with ``repeats``: packed starts and lengths of each document's repeated windows (null: none)."""
-    packed = repeated(docs, span, gram).groupBy("doc_id").agg(F.collect_list(F.shiftleft("first", 8).bitwiseOR(F.col("shape").bitwiseAND(255))).alias("repeats"))
+    """docs with ``__repeats``: packed starts and lengths of each document's repeated windows (null: none)."""
+    packed = repeated(docs, span, gram).groupBy("doc_id").agg(F.collect_list(F.shiftleft("first", 8).bitwiseOR(F.col("shape").bitwiseAND(255))).alias("__repeats"))
     return docs.join(packed.withColumnRenamed("doc_id", "__d"), F.col("doc_id").cast("long") == F.col("__d"), "left").drop("__d")
 
 
@@ -343,7 +343,7 @@ def digest(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     def f(batches):
         for batch in batches:
             raw, at = common.text_bytes(batch.column("text"))
-            ids, repeats = batch.column("doc_id").to_pylist(), batch.column("repeats")
+            ids, repeats = batch.column("doc_id").to_pylist(), batch.column("__repeats")
             out = []
             for i, d in enumerate(ids):
                 data = raw[at[i] : at[i + 1]]
@@ -377,7 +377,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, column:
             out.append(b"".join(x.decode("utf-8", "ignore").encode() for x in left).decode())
         return text.__class__(out, index=text.index, dtype=object)
 
-    return with_repeats(docs, span, gram).withColumn(column, kept("text", "repeats")).drop("repeats")
+    return with_repeats(docs, span, gram).withColumn(column, kept("text", "__repeats")).drop("__repeats")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
