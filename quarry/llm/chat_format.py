@@ -137,3 +137,37 @@ def conversation_text(ordered: DataFrame, most: int = 10_000) -> DataFrame:
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = reply_ordered(common.table(spark, sf_dir, "conversations"))
     return out.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)).drop("text")
+
+
+OP9_SQL = r"""
+WITH RECURSIVE m AS (
+  SELECT row_number() OVER () AS id, conv_id, turn, role, text, string_split(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(10)) AS ls FROM conversations),
+ln AS (
+  SELECT id, conv_id, turn, i, len(regexp_replace(regexp_extract(ls[i], '^((?:[ \t]*>)+)[ \t]?', 1), '[^>]', '', 'g')) AS level, regexp_replace(ls[i], '^((?:[ \t]*>)+)[ \t]?', '') AS line
+  FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM m)),
+st AS (SELECT *, CASE WHEN lag(level) OVER w = level THEN 0 ELSE 1 END AS new, coalesce(lead(level) OVER w, 0) AS following FROM ln WINDOW w AS (PARTITION BY id ORDER BY i)),
+rn AS (SELECT *, sum(new) OVER (PARTITION BY id ORDER BY i) AS run FROM st),
+ow AS (
+  SELECT id, trim(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (level = 0 AND NOT (following > 0 AND regexp_matches(line, '(?i)^\s*(on\b.*\bwrote|.*\bschrieb|.*\bescribió|.*\ba écrit)\s*:\s*$'))), '')) AS own,
+    max(level) > 0 AS quotes, count(DISTINCT CASE WHEN level > 0 THEN run END) AS n_quotes FROM rn GROUP BY id),
+ms AS (SELECT m.*, CASE WHEN quotes THEN own ELSE text END AS own, n_quotes FROM m JOIN ow USING (id)),
+hp AS (
+  SELECT conv_id, turn, trim(regexp_replace(lower(unnest(list_concat([coalesce(own, '')], regexp_split_to_array(coalesce(own, ''), '\n\s*\n'), string_split(coalesce(own, ''), chr(10))))), '\s+', ' ', 'g')) AS passage FROM ms),
+og AS (SELECT conv_id, passage, min(turn) AS origin FROM hp WHERE passage <> '' GROUP BY conv_id, passage),
+qr AS (SELECT id, conv_id, turn, level, run, list(line ORDER BY i) AS ls FROM rn WHERE level > 0 GROUP BY id, conv_id, turn, level, run),
+qp AS (
+  SELECT DISTINCT id, run, conv_id, turn, level, trim(regexp_replace(lower(piece), '\s+', ' ', 'g')) AS passage
+  FROM (SELECT *, unnest(list_concat([array_to_string(ls, chr(10))], ls)) AS piece FROM qr)),
+vt AS (
+  SELECT conv_id, turn, level, origin, sum(len(string_split(passage, ' '))) AS votes FROM qp JOIN og USING (conv_id, passage) WHERE passage <> '' AND origin < turn GROUP BY conv_id, turn, level, origin),
+pa AS (SELECT conv_id, turn, origin AS parent_turn FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, votes DESC, origin DESC) AS k FROM vt) WHERE k = 1),
+up AS (
+  SELECT conv_id, turn, parent_turn AS thread, 1 AS depth FROM pa
+  UNION ALL SELECT u.conv_id, u.turn, p.parent_turn, u.depth + 1 FROM up u JOIN pa p ON u.conv_id = p.conv_id AND u.thread = p.turn),
+th AS (SELECT conv_id, turn, arg_max(thread, depth) AS thread, max(depth) AS depth FROM up GROUP BY conv_id, turn),
+al AS (
+  SELECT ms.conv_id, ms.turn, role, own, n_quotes, parent_turn, coalesce(thread, ms.turn) AS thread, coalesce(depth, 0) AS depth
+  FROM ms LEFT JOIN pa ON ms.conv_id = pa.conv_id AND ms.turn = pa.turn LEFT JOIN th ON ms.conv_id = th.conv_id AND ms.turn = th.turn)
+SELECT conv_id, turn, role, CAST(n_quotes AS BIGINT) AS n_quotes, parent_turn, thread, CAST(depth AS INT) AS depth,
+  row_number() OVER (PARTITION BY conv_id ORDER BY thread, turn, role) - 1 AS position, sha256(coalesce(own, '')) AS text_sha256 FROM al
+"""

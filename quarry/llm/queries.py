@@ -24,4 +24,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_license_scan": license_scan.OP8_SQL,
+    "op9_chat_format": chat_format.OP9_SQL,
 }
