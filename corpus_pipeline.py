@@ -63,5 +63,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = common.materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = common.materialise(stage(spark, docs, sf_dir), f"stage-{name}", tidy=True)
     return docs

@@ -26,15 +26,19 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df once as Parquet in the shared folder and read it back; cuts lineage, survives lost executors."""
+def materialise(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+    """Write df once as Parquet in the shared folder and read it back; cuts lineage, survives lost executors.
+
+    tidy: let the shuffle files of the finished job go at once, where they are large.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quarry-{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # shuffle files of finished jobs go only when the driver collects its garbage
+    if tidy:
+        del df
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()  # they go only when the driver collects its garbage
     return spark.read.schema(schema).parquet(path)
 
 

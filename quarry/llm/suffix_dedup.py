@@ -306,9 +306,9 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     buckets = common.partitions(spark)
     splitters = _splitters(docs, buckets, span, gram)
     suffixes = docs.mapInArrow(_emit(splitters, span, gram), _SUFFIX)
-    found = common.materialise(suffixes.repartitionById(buckets, F.col("bucket")).mapInArrow(_compare, _FOUND), "suffixes")
+    found = common.materialise(suffixes.repartitionById(buckets, F.col("bucket")).mapInArrow(_compare, _FOUND), "suffixes", tidy=True)
     asked = found.where("kind > 0").groupBy("doc_id").agg(F.collect_list(F.struct("first", "shape", "kind", "gram")).alias("asks"))
-    pieces = common.materialise(docs.join(asked, "doc_id").mapInArrow(_fetch(span), "gram long, kind int, doc_id long, first long, shape int, bytes binary"), "pieces")
+    pieces = common.materialise(docs.join(asked, "doc_id").mapInArrow(_fetch(span), "gram long, kind int, doc_id long, first long, shape int, bytes binary"), "pieces", tidy=True)
     out = "doc_id long, first long, shape int"
     few = pieces.where("kind = 1").repartition(buckets, "gram").mapInArrow(_compare_windows(span), out)
     dealt = pieces.where("kind = 2").mapInArrow(_deal_windows(span), "key long, doc_id long, start long, again boolean")
