@@ -26,10 +26,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8) stays, the one of least doc_id."""
     groups = near_dedup.near_groups(docs, width=5, percent=80)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_d")).agg(F.count("*").alias("n"))
-    kept = common.materialise(kept, "kept")
-    out = docs.select(*COLUMNS).join(kept.select("_d"), F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
-    return out.dropDuplicates(["doc_id", "text"]) if kept.where("n > 1").limit(1).count() else out
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = common.materialise(groups.groupBy(F.col("doc_id").alias("_d")).agg(F.max(first).alias("first"), F.count("*").alias("n")), "ids")
+    copies = ids.where(~F.col("first")).select("_d")
+    gone = common.broadcast_if_small(copies, copies.count(), 16)
+    out = docs.select(*COLUMNS).join(gone, F.col("doc_id").eqNullSafe(F.col("_d")), "left_anti")
+    return out.dropDuplicates(["doc_id", "text"]) if ids.where("first and n > 1").limit(1).count() else out
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
