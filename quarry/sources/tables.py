@@ -117,3 +117,21 @@ def co_assemblies(df: DataFrame) -> DataFrame:
 
 def with_file(df: DataFrame, column: Column | None = None) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_name") if column is None else column)
+
+
+def read_optional(spark: SparkSession, path: str | None, key: str, columns: T.StructType | None = None, sep: str | None = None) -> DataFrame | None:
+    """A table, or None where there is no file, no row or no key column."""
+    if not path:
+        return None
+    try:
+        df = read(spark, path, columns, sep)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    return df if key in df.columns and df.limit(1).count() else None
+
+
+def empty(spark: SparkSession, columns: T.StructType) -> DataFrame:
+    """A table of no rows, for tools that were given nothing."""
+    return spark.createDataFrame([], columns)
