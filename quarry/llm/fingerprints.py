@@ -14,6 +14,8 @@ the fingerprint of an empty set: they are like each other and unlike others.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -95,9 +97,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.get(a, F.lit(0)) == 0) | (F.get(b, F.lit(0)) == 0), (F.get(a, F.lit(0)) == F.get(b, F.lit(0))).cast("double")).otherwise(estimate)
 
 
-def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """docs with next_<column> of the row that follows in descending key order; the first follows the last.
 
+    derive adds columns to rows of docs; it is applied once to all rows, and to the first row of each range.
+
     Rows are dealt to ranges of the key; windows look inside a range, and one row of each range is joined to the
     range before.  Rows of equal keys follow each other in the order of their text's hash.  Ranges are of equal
     width: a few very large gaps between keys make ranges uneven but not wrong.
@@ -106,18 +110,21 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id") -> DataF
     lo, hi, n = bounds["lo"] or 0, bounds["hi"] or 0, bounds["n"]
     ranges = max(1, min(1 << 14, n // NEIGHBOURS))
     width = (hi - lo) // ranges + 1
-    number = F.coalesce(F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(-1))
+    number = F.coalesce(F.floor((F.col(key).cast("double") - F.lit(float(lo))) / F.lit(float(width))).cast("int"), F.lit(-1))
     tie = F.xxhash64(columns[0])
     order = Window.partitionBy(F.lit(0)).orderBy(F.col("_h").desc())
     tops = docs.select(number.alias("_h"), F.col(key).alias("_k")).groupBy("_h").agg(F.max("_k").alias("_k"))  # at most 1 << 14 rows
     tops = tops.select("_h", *[F.coalesce(F.lead(c).over(order), F.first(c).over(order.rowsBetween(Window.unboundedPreceding, 0))).alias(f"_next{c}") for c in ("_h", "_k")])
     own = F.struct(*[F.col(c) for c in columns])
     heads = docs.join(F.broadcast(tops), (number == F.col("_next_h")) & F.col(key).eqNullSafe(F.col("_next_k")))
-    heads = heads.withColumn("_i", F.row_number().over(Window.partitionBy("_h").orderBy(tie))).where("_i = 1").select("_h", own.alias("_head"))
+    heads = heads.withColumn("_i", F.row_number().over(Window.partitionBy("_h").orderBy(tie))).where("_i = 1")
+    heads = derive(heads).select("_h", own.alias("_head"))
     w = Window.partitionBy("_r").orderBy(F.col(key).desc(), tie)
-    rows = docs.withColumn("_r", number).withColumn("_next", F.lead(own).over(w))
+    rows = derive(docs)
+    names = rows.columns
+    rows = rows.withColumn("_r", number).withColumn("_next", F.lead(own).over(w))
     both = rows.join(heads, (F.col("_r") == F.col("_h")) & F.col("_next").isNull(), "left").withColumn("_n", F.coalesce("_next", "_head"))
-    return both.select(*docs.columns, *[F.col("_n")[c].alias(f"next_{c}") for c in columns])
+    return both.select(*names, *[F.col("_n")[c].alias(f"next_{c}") for c in columns])
 
 
 def edited_text(text: Column, following: Column) -> Column:
@@ -129,8 +136,8 @@ def edited_text(text: Column, following: Column) -> Column:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per document: fingerprints of the text and of its edited text, and likenesses to that and to the next document."""
-    rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("fp", fingerprint(F.col("text")))
-    rows = with_next(rows, ["text", "fp"])
+    rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = with_next(rows, ["text", "fp"], derive=lambda df: df.withColumn("fp", fingerprint(F.col("text"))))
     rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "fp", "next_fp", edited_text(F.col("text"), F.col("next_text")).alias("edited"))
     rows = rows.withColumn("efp", fingerprint(F.col("edited")))
     return rows.select(
