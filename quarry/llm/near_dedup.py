@@ -9,7 +9,8 @@ the concentration of independent draws.
 
 Documents with equal shingle sets are one node.  Nodes that agree in a band of
 four coordinates are candidates; sketches keep candidates apart that can't be
-similar.  Connected candidates are then compared exactly on their full shingle
+similar, and compare all that a bucket still holds after ``ROUNDS`` rounds in
+blocks.  Connected candidates are then compared exactly on their full shingle
 sets in blocks of ``BLOCK`` by ``BLOCK`` documents, whatever the group's size.
 
 A band of four among 32 misses a pair of similarity 0.8 with probability 5e-8.
@@ -32,7 +33,11 @@ BANDS = 32
 BLOCK = 128
 #: Share of equal coordinates below which candidates are dropped: 6 standard deviations under 0.8 is 0.59.
 LEAST_SHARE = 0.35
+#: Share with a hub from which a candidate's near copies (share 0.5, 8 standard deviations under 0.8) can't be apart from the hub.
+STAY = LEAST_SHARE + 0.5
 ROUNDS = 4
+#: Sketches of a bucket that are compared with as many others in one task.
+SKETCHES = 512
 _U = np.uint64
 
 
@@ -138,10 +143,43 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             return labels
 
 
+def _agreeing(key, rows):
+    """Connects the nodes of two blocks of a bucket where sketches allow it: a spanning forest of their pairs."""
+    ids, side = rows["node"].to_numpy(), rows["side"].to_numpy()
+    marks = np.frombuffer(b"".join(rows["marks"]), np.uint8).reshape(len(ids), -1)
+    both = (side == 0).any() and (side == 1).any()
+    label, links = np.arange(len(ids)), []
+    for i in range(len(ids)):
+        ok = (marks[i + 1 :] == marks[i]).mean(1) >= LEAST_SHARE
+        if both:
+            ok &= side[i + 1 :] != side[i]
+        for j in np.flatnonzero(ok) + i + 1:
+            if label[i] != label[j]:
+                label[label == label[j]] = label[i]
+                links.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
+    import pandas as pd
+
+    return pd.DataFrame(links, columns=["src", "dst"]).astype("int64")
+
+
+def _compared(left: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges among all that is left of each bucket (node, band), compared in pairs block by block."""
+    total = left.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    n = F.ceil(F.col("n") / SKETCHES).cast("int")
+    marks = nodes.select(F.col("doc_id").alias("node"), "marks")
+    rows = left.join(total, "band").select("node", "band", n.alias("blocks"), F.pmod(F.xxhash64("node"), n).cast("int").alias("block")).join(marks, "node")
+    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "node", "marks", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side")
+    )
+    return dealt.groupBy("band", "i", "j").applyInPandas(_agreeing, "src long, dst long").distinct()
+
+
 def _candidates(nodes: DataFrame) -> DataFrame:
-    """Edges (src, dst) from documents to the least document of each bucket, where sketches allow it.
+    """Edges (src, dst) that connect all documents of a bucket of which sketches agree in half of their marks or more.
 
-    Documents that are unlike the least one of their bucket try the next, for ROUNDS rounds.
+    Documents are linked to the least one of their bucket, where sketches allow it.  For ROUNDS rounds, those that stay
+    try the next: all that are apart from it, and linked ones unless so near to it (STAY) that nothing apart from it can
+    be their near copy, as unequal marks obey the triangle inequality.  What is left then is compared in all pairs.
     """
     left = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
     found = None
@@ -155,11 +193,12 @@ def _candidates(nodes: DataFrame) -> DataFrame:
         judged = common.materialise(pairs.join(marks, "node").join(hub_marks, "hub").select("node", "hub", _share("a", "b").alias("share")), f"pairs{i}")
         edges = judged.where(F.col("share") >= LEAST_SHARE).select(F.col("node").alias("src"), F.col("hub").alias("dst"))
         found = edges if found is None else found.union(edges)
-        apart = judged.where(F.col("share") < LEAST_SHARE)
-        if apart.limit(1).count() == 0:
-            break
-        left = linked.join(apart.select("node", "hub"), ["node", "hub"]).select("node", "band")
-    return found
+        stay = judged.where(F.col("share") < STAY)
+        if stay.limit(1).count() == 0:
+            return found
+        left = linked.join(stay.select("node", "hub").distinct(), ["node", "hub"]).select("node", "band")
+    left = common.materialise(left, "unlike")
+    return found.union(common.materialise(_compared(left, nodes), "compared"))
 
 
 def _joined(width: int):
