@@ -1,8 +1,10 @@
 """Language-model scores: masked pseudo-likelihood under a bidirectional window network.
 
 Tokens are words (lower case, by white space) in classes: the corpus's most
-frequent words have one each, the others share classes by hash.  The network
-predicts each token's class from the ``REACH`` tokens on both of its sides:
+frequent words have one each, the others share classes by hash.  A shared
+class's words are told apart by their counts: log(count of word / count of
+class) is added for each of their tokens, by a join with the counts of all
+words.  The network predicts each token's class from the ``REACH`` tokens on both of its sides:
 position-wise embeddings, a tanh layer, a softmax.  It is trained in numpy on
 all documents: in each round every task takes stochastic gradient steps over the
 masked tokens of its documents (``MASKED`` of them, chosen by hash) from the
@@ -39,6 +41,8 @@ BATCH = 512
 STEP = 1024
 #: Averages are formed in so many groups before the driver adds those up.
 GROUPS = 32
+#: Log-probabilities of words are added up in whole numbers of 1 / UNIT.
+UNIT = 1 << 30
 
 
 def _counted(batches):
@@ -49,10 +53,15 @@ def _counted(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
 
-def vocabulary(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The corpus's most frequent words, and how many of its tokens are of each class."""
+def counted(docs: DataFrame) -> DataFrame:
+    """(word, n) of all words."""
     counts = docs.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = common.materialise(counts, "words")
+    return common.materialise(counts, "words")
+
+
+def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> tuple[list[str], np.ndarray]:
+    """The corpus's most frequent words, and how many of its tokens are of each class."""
+    counts = counted(docs) if counts is None else counts
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     shared = counts.groupBy(F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(SHARED)).alias("c")).agg(F.sum("n").alias("n")).collect()
     sizes = np.zeros(CLASSES)
@@ -72,7 +81,9 @@ class Classes:
         self.known, self.most = dict(self.fixed), most
 
     def of(self, text: str | None) -> np.ndarray:
-        tokens = (text or "").lower().split()
+        return self.of_tokens((text or "").lower().split())
+
+    def of_tokens(self, tokens: list[str]) -> np.ndarray:
         known = self.known
         if len(known) > self.most:
             self.known = known = dict(self.fixed)
@@ -155,15 +166,32 @@ def _load(flat: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def encoded(docs: DataFrame, words: list[str]) -> DataFrame:
-    """(doc_id, classes): one byte for each token, written once for all passes."""
+    """(row, doc_id, classes, words, times), written once for all passes: one byte for each token, and the words of shared classes."""
 
     def f(batches):
         classes = Classes(words)
         for b in batches:
-            got = [classes.of(t).astype(np.uint8).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(got, pa.binary())], names=["doc_id", "classes"])
+            got, said, times = [], [], []
+            for t in b.column("text").to_pylist():
+                tokens = (t or "").lower().split()
+                got.append(classes.of_tokens(tokens).astype(np.uint8).tobytes())
+                shared = {w: n for w, n in Counter(tokens).items() if w not in classes.fixed}
+                said.append(list(shared.keys()))
+                times.append(list(shared.values()))
+            cols = [pa.array(got, pa.binary()), pa.array(said, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), *cols], names=["row", "doc_id", "classes", "words", "times"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
+    return common.materialise(rows.mapInArrow(f, "row long, doc_id long, classes binary, words array<string>, times array<long>"), "classes")
+
 
-    return common.materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(f, "doc_id long, classes binary"), "classes")
+def word_terms(tokens: DataFrame, counts: DataFrame, sizes: np.ndarray) -> DataFrame:
+    """(row, inside): sum of log P(word | class) over a row's tokens of shared classes, in units of 1 / UNIT."""
+    size = F.get(F.array(*[F.lit(float(n)) for n in sizes[FREQUENT:]]), F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(SHARED)).cast("int"))
+    # of the most frequent words, which are in no shared class, no row is joined; whole units add up the same in any order
+    logs = counts.select("word", F.round(F.log(F.try_divide("n", size)) * UNIT).cast("long").alias("inside"))
+    said = tokens.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    return said.join(logs, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("inside")).alias("inside"))
 
 
 def _decoded(column: pa.Array) -> list[np.ndarray]:
@@ -203,8 +231,8 @@ def fit(tokens: DataFrame, sizes: np.ndarray, rounds: int = ROUNDS) -> list[np.n
     return params
 
 
-def scores(tokens: DataFrame, params: list[np.ndarray]) -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (sum), mean_log_likelihood of encoded documents."""
+def scores(tokens: DataFrame, params: list[np.ndarray], inside: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (sum), mean_log_likelihood of encoded documents; of classes alone without word_terms."""
 
     def f(batches):
         for b in batches:
@@ -214,16 +242,21 @@ def scores(tokens: DataFrame, params: list[np.ndarray]) -> DataFrame:
             run = np.concatenate([[0.0], np.cumsum(log_probabilities(params, flat, at))])
             end = np.cumsum(size)
             total = run[end] - run[end - size]
-            mean = pa.array([t / n if n else None for t, n in zip(total.tolist(), size.tolist())], pa.float64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(size), pa.array(total), mean], names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(size), pa.array(total)], names=["row", "doc_id", "n_tokens", "log_likelihood"])
 
-    return tokens.mapInArrow(f, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+    rows = tokens.select("row", "doc_id", "classes").mapInArrow(f, "row long, doc_id long, n_tokens long, log_likelihood double")
+    if inside is not None:
+        added = F.col("log_likelihood") + F.coalesce("inside", F.lit(0)) / UNIT
+        rows = rows.join(inside, "row", "left").withColumn("log_likelihood", added)
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return rows.select("doc_id", "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
-    words, sizes = vocabulary(docs)
+    counts = counted(docs)
+    words, sizes = vocabulary(docs, counts)
     tokens = encoded(docs, words)
-    return scores(tokens, fit(tokens, sizes))
+    return scores(tokens, fit(tokens, sizes), word_terms(tokens, counts, sizes))
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

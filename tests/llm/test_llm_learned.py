@@ -1,5 +1,6 @@
 """Learned operators: held-out accuracy and what scores must tell apart; the pipeline against its parts."""
 
+import collections
 import random
 
 import numpy as np
@@ -59,6 +60,27 @@ def test_lm_prefers_the_order_that_it_learned(spark):
     assert lm_scoring.score_documents(docs.limit(0)).count() == 0
 
 
+def test_lm_tells_words_of_a_class_apart(spark):
+    rng = random.Random(5)
+    many = [f"w{i}" for i in range(lm_scoring.FREQUENT)]
+    rare = [f"r{i}" for i in range(300)]
+    rows = [(i, " ".join(many + rng.choices(rare, range(1, 301), k=20))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = collections.Counter(w for _, t in rows for w in t.split())
+    words, sizes = lm_scoring.vocabulary(docs)
+    tokens = lm_scoring.encoded(docs, words)
+    alone = {r["doc_id"]: r for r in lm_scoring.scores(tokens, lm_scoring.fit(tokens, sizes)).collect()}
+    of = lm_scoring.Classes(words).of
+    whole = lm_scoring.score_documents(docs).collect()
+    assert len(whole) == 30
+    for r in whole:
+        shared = [w for w in rows[r["doc_id"]][1].split() if w not in words]
+        want = sum(np.log(counts[w] / sizes[of(w)[0]]) for w in shared)
+        assert len(shared) >= 10 and abs(r["log_likelihood"] - alone[r["doc_id"]]["log_likelihood"] - want) < 1e-2
+        assert abs(r["mean_log_likelihood"] * r["n_tokens"] - r["log_likelihood"]) < 1e-6
+    assert lm_scoring.score_documents(docs.select("doc_id", F.lit("one two three").alias("text"))).where("mean_log_likelihood < 0").count() == 30  # empty classes
+
+
 def test_lm_probabilities_sum_to_one():
     p = lm_scoring.initial(np.arange(lm_scoring.CLASSES, dtype=float))
     flat, at = lm_scoring.padded([np.array([1, 2, 3])])
