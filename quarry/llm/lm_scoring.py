@@ -6,9 +6,10 @@ class's words are told apart by their counts: log(count of word / count of
 class) is added for each of their tokens, by a join with the counts of all
 words.  The network predicts each token's class from the ``REACH`` tokens on both of its sides:
 position-wise embeddings, a tanh layer, a softmax.  It is trained in numpy on
-all documents: in each round every task takes stochastic gradient steps over the
-masked tokens of its documents (``MASKED`` of them, chosen by hash) from the
-same start, and parameters are averaged, weighted by tokens, in two levels.
+all documents: in each round every task takes stochastic gradient steps over
+masked tokens of its documents (one in as many as there are rounds, by place in
+the document, so that every token is learned from once) from the same start, and
+parameters are averaged, weighted by tokens, in two levels.
 
 A document's score is the sum of its tokens' conditional log-probabilities, each
 token masked in turn.  Empty and null texts have no tokens, sum 0, no mean.
@@ -35,7 +36,6 @@ PAD = CLASSES
 REACH = 2
 HIDDEN = 24
 ROUNDS = 2
-MASKED = 0.15
 RATE = 0.05
 BATCH = 512
 STEP = 1024
@@ -153,6 +153,11 @@ def log_probabilities(p: list[np.ndarray], flat: np.ndarray, at: np.ndarray) ->
     return out
 
 
+def masked(classes: list[np.ndarray], r: int, rounds: int) -> np.ndarray:
+    """Which of all documents' tokens round r learns from; each token has its one round, however rows are batched."""
+    return np.concatenate([np.arange(len(c)) for c in classes]) % rounds == r
+
+
 def _dump(p: list[np.ndarray], n: int) -> bytes:
     return (np.concatenate([x.ravel() for x in p]).astype(np.float64) * n).tobytes()
 
@@ -210,7 +215,7 @@ def fit(tokens: DataFrame, sizes: np.ndarray, rounds: int = ROUNDS) -> list[np.n
                 if not got:
                     continue
                 flat, at = padded(got)
-                chosen = np.random.default_rng([r, len(at)]).random(len(at)) < MASKED
+                chosen = masked(got, r, rounds)
                 train(p, memory, flat, at[chosen], RATE / (1 + r))
                 n += len(at)
             if n:

@@ -81,6 +81,22 @@ def test_lm_tells_words_of_a_class_apart(spark):
     assert lm_scoring.score_documents(docs.select("doc_id", F.lit("one two three").alias("text"))).where("mean_log_likelihood < 0").count() == 30  # empty classes
 
 
+def test_lm_learns_from_every_token_once(spark, monkeypatch, tmp_path):
+    seen, train = str(tmp_path / "seen"), lm_scoring.train
+
+    def watched(p, memory, flat, at, rate):
+        with open(seen, "a") as f:
+            f.write("".join(f"{flat[a]}\n" for a in at))
+        train(p, memory, flat, at, rate)
+
+    monkeypatch.setattr(lm_scoring, "train", watched)
+    docs = spark.createDataFrame([(i, " ".join(WORDS[: 3 + i])) for i in range(20)], "doc_id long, text string")
+    words, sizes = lm_scoring.vocabulary(docs)
+    lm_scoring.fit(lm_scoring.encoded(docs, words), sizes)
+    got = collections.Counter(map(int, open(seen).read().split()))
+    assert got == {i: int(n) for i, n in enumerate(sizes) if n}
+
+
 def test_lm_probabilities_sum_to_one():
     p = lm_scoring.initial(np.arange(lm_scoring.CLASSES, dtype=float))
     flat, at = lm_scoring.padded([np.array([1, 2, 3])])
