@@ -531,8 +531,8 @@ def tournament_cluster(spark, d):
 
 @query()
 def mock_evaluation(spark, d):
-    """Shared k-mers, greedy clustering and agreement with the known clusters, on synthetic contigs."""
-    contigs = synth.mock_contigs(spark, 60, mean_log=6.0, most=2000)
+    """Shared k-mers, greedy clustering and agreement with the known clusters, on as many synthetic originals as there are documents."""
+    contigs = synth.mock_contigs(spark, _Tables(spark, d).documents.count(), mean_log=6.0, most=2000)
     seqs = contigs.select(F.col("sequence_id").alias("id"), "seq", "length")
     near = clustering.shared_kmers(seqs, 16, 20)
     edges = near.select("src", "dst").union(near.select("dst", "src"))

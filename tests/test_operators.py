@@ -145,6 +145,17 @@ def test_greedy_rounds_match_the_sequential_model(spark, seed):
     assert got == want
 
 
+@pytest.mark.parametrize("most", [4, 1000])
+def test_shared_kmers_counts_all_pairs(spark, most):
+    rng = random.Random(7)
+    common = "".join(rng.choices("ACGT", k=30))
+    seqs = {i: common[i % 5 :] + "".join(rng.choices("ACGT", k=20)) for i in range(30)}
+    sets = {i: {s[j : j + 8] for j in range(len(s) - 7)} for i, s in seqs.items()}
+    want = sorted((a, b, len(sets[a] & sets[b])) for a in seqs for b in seqs if a < b and len(sets[a] & sets[b]) >= 20)
+    got = clustering.shared_kmers(spark.createDataFrame(list(seqs.items()), "id long, seq string"), 8, 20, most)
+    assert sorted((r["src"], r["dst"], r["shared"]) for r in got.collect()) == want and len(want) > 200
+
+
 def test_clusters_list_the_centroid_first(spark):
     df = spark.createDataFrame([(1, 5), (5, 5), (2, 2)], "id long, centroid long")
     assert rows(clustering.clusters(df), "centroid") == [(2, 1, "2"), (5, 2, "5,1")]
