@@ -16,6 +16,7 @@ A null text is empty and gives the end token alone.  Other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -29,7 +30,7 @@ from quarry.llm import common, packing
 WINDOW = 1 << 21
 PAD = 0
 
-ROW = "row_id long, ids binary, n_tokens int, doc_ids array<long>, starts array<long>, cu_seqlens array<int>"
+ROW = "row_id long, ids binary, n_tokens int, doc_ids array<long>, starts array<long>, cu_seqlens array<int>, resets array<struct<at: int, position: long>>"
 
 
 class CapacityTree:
@@ -90,13 +91,15 @@ def _packed(path: str, capacity: int, end_id: int):
             ends = np.cumsum([0] + [len(pieces[i][2]) for i in members])
             for i, a, b in zip(members, ends[:-1], ends[1:]):
                 ids[a:b] = pieces[i][2]
-            out.append((first + k, ids.tobytes(), int(ends[-1]), [pieces[i][0] for i in members], [pieces[i][1] for i in members], ends.tolist()))
+            starts, ends = [pieces[i][1] for i in members], ends.tolist()
+            resets = [{"at": a, "position": s} for a, s in zip(ends, starts)]
+            out.append((first + k, ids.tobytes(), ends[-1], [pieces[i][0] for i in members], starts, ends, resets))
         return out
 
     def batch(rows):
-        types = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+        types = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.struct([("at", pa.int32()), ("position", pa.int64())])))
         cols = list(zip(*rows))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["row_id", "ids", "n_tokens", "doc_ids", "starts", "cu_seqlens"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["row_id", "ids", "n_tokens", "doc_ids", "starts", "cu_seqlens", "resets"])
 
     def f(batches):
         encode, next_id = packing.encoder(path), TaskContext.get().partitionId() << 32
@@ -138,15 +141,21 @@ def positions(starts: list[int], cu_seqlens: list[int]) -> np.ndarray:
     return np.concatenate([np.arange(s, s + b - a) for s, a, b in zip(starts, cu_seqlens[:-1], cu_seqlens[1:])]).astype(np.int64)
 
 
+def reset_positions(resets: list[dict], n_tokens: int) -> np.ndarray:
+    """The same from a row's stored resets."""
+    return positions([x["position"] for x in resets], [x["at"] for x in resets] + [n_tokens])
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per packed row: its segments and checksums of its ids and positions."""
+    """Per packed row, as written to the shared folder and read back: its segments and checksums of its ids and positions."""
 
     def digest(batches):
         for b in batches:
             ids = [zlib.crc32(x) for x in b.column("ids").to_pylist()]
-            pos = [zlib.crc32(positions(s, c).astype("<u4").tobytes()) for s, c in zip(b.column("starts").to_pylist(), b.column("cu_seqlens").to_pylist())]
+            pos = [zlib.crc32(reset_positions(x, n).astype("<u4").tobytes()) for x, n in zip(b.column("resets").to_pylist(), b.column("n_tokens").to_pylist())]
             cols = [b.column(c) for c in ("row_id", "n_tokens", "doc_ids", "starts", "cu_seqlens")] + [pa.array(ids, pa.int64()), pa.array(pos, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=["row_id", "n_tokens", "doc_ids", "starts", "cu_seqlens", "ids_crc32", "positions_crc32"])
 
-    rows = packed_rows(common.documents(spark, sf_dir))
-    return rows.mapInArrow(digest, "row_id long, n_tokens int, doc_ids array<long>, starts array<long>, cu_seqlens array<int>, ids_crc32 long, positions_crc32 long")
+    target = f"{common.shared_dir(spark)}/packed-{uuid.uuid4().hex}"
+    write(common.documents(spark, sf_dir), target)
+    return read(spark, target).mapInArrow(digest, "row_id long, n_tokens int, doc_ids array<long>, starts array<long>, cu_seqlens array<int>, ids_crc32 long, positions_crc32 long")

@@ -164,6 +164,19 @@ def test_token_rows_round_trip(spark, texts, empty, tmp_path):
     assert token_output.packed_rows(empty).count() == 0
 
 
+def test_token_query_reads_what_it_wrote(spark, texts, tmp_path, monkeypatch):
+    written, write = [], token_output.write
+    monkeypatch.setattr(token_output, "write", lambda docs, target, **k: (written.append(target), write(docs, target, **k)))
+    spark.createDataFrame(list(texts.items()), DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["row_id"]: r for r in token_output.op5_token_output(spark, str(tmp_path)).collect()}
+    rows = token_output.read(spark, written[0]).collect()
+    assert len(written) == 1 and {r["row_id"] for r in rows} == set(got)
+    for r in rows:
+        pos = token_output.positions(r["starts"], r["cu_seqlens"])
+        assert [tuple(x) for x in r["resets"]] == list(zip(r["cu_seqlens"], r["starts"]))
+        assert (got[r["row_id"]]["ids_crc32"], got[r["row_id"]]["positions_crc32"]) == (zlib.crc32(r["ids"]), zlib.crc32(pos.astype("<u4").tobytes()))
+
+
 def test_segment_tree_finds_the_smallest_room():
     tree, held = token_output.CapacityTree(50), collections.Counter()
     rng = random.Random(2)
