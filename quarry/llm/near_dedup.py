@@ -8,21 +8,32 @@ need few rounds, and coordinates agree with the sets' Jaccard similarity, with
 the concentration of independent draws.
 
 Documents with equal shingle sets are one node.  Nodes that agree in a band of
-four coordinates are candidates; sketches keep candidates apart that can't be
-similar, and compare all that a bucket still holds after ``ROUNDS`` rounds in
-blocks.  Connected candidates are then compared exactly on their full shingle
-sets in blocks of ``BLOCK`` by ``BLOCK`` documents, whatever the group's size.
-
-A band of four among 32 misses a pair of similarity 0.8 with probability 5e-8.
-Null and empty texts have no shingles and no links.  Rows that share a doc_id
-are one node of the graph for each text.  Other columns are ignored.
+four coordinates meet in a bucket, and nodes of a bucket are candidates if their
+sketches agree in ``LEAST_SHARE`` of the coordinates.  Only what candidates
+connect matters: every bucket's nodes are tried against one of them, and buckets
+whose nodes are then still in several parts are compared in blocks, each part
+with the others, until every pair is connected or rejected.
+
+Connected candidates are compared exactly on their full shingle sets: small
+groups at once; large ones first against ``HUBS`` of their nodes, and what that
+leaves in several parts block by block, each part with the others.  Blocks are
+bounded by documents and by shingles.
+
+A pair of similarity 0.8 is missed by all bands with probability 5e-8, and its
+sketches agree in less than LEAST_SHARE with probability 1e-10.
+
+Every row is a document of its own, also where rows share a doc_id, with its
+(doc_id, text hash) as its key; a null doc_id comes after all others.  Ties of
+similarity at the threshold are links.  Null and empty texts, and texts of white
+space, have no shingles and no links.  An empty table gives an empty result.
+Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,12 +41,13 @@ from quarry.llm import anchors, common
 
 COORDINATES = 128
 BANDS = 32
-BLOCK = 128
-#: Share of equal coordinates below which candidates are dropped: 6 standard deviations under 0.8 is 0.59.
-LEAST_SHARE = 0.35
-#: Share with a hub from which a candidate's near copies (share 0.5, 8 standard deviations under 0.8) can't be apart from the hub.
-STAY = LEAST_SHARE + 0.5
-ROUNDS = 4
+#: Documents, and shingles of them, that a block of a candidate group holds.
+BLOCK = 256
+BLOCK_SHINGLES = 1 << 18
+#: Share of equal coordinates below which nodes are no candidates: 7 standard deviations under 0.8.
+LEAST_SHARE = 0.55
+#: Nodes of a large group that all others are tried against first.
+HUBS = 8
 #: Sketches of a bucket that are compared with as many others in one task.
 SKETCHES = 512
 _U = np.uint64
@@ -102,8 +114,8 @@ def _sketched(width: int):
                 for c, v in zip((n, low, high, marks, keys), last):
                     c.append(v)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.array(low, _U).view(np.int64)), pa.array(np.array(high, _U).view(np.int64)), pa.array(marks, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "marks", "bands"],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.array(np.array(low, _U).view(np.int64)), pa.array(np.array(high, _U).view(np.int64)), pa.array(marks, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "marks", "bands"],
             )
 
     return f
@@ -143,153 +155,181 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-def _agreeing(key, rows):
-    """Connects the nodes of two blocks of a bucket where sketches allow it: a spanning forest of their pairs."""
-    ids, side = rows["node"].to_numpy(), rows["side"].to_numpy()
-    marks = np.frombuffer(b"".join(rows["marks"]), np.uint8).reshape(len(ids), -1)
-    both = (side == 0).any() and (side == 1).any()
-    label, links = np.arange(len(ids)), []
-    for i in range(len(ids)):
-        ok = (marks[i + 1 :] == marks[i]).mean(1) >= LEAST_SHARE
-        if both:
-            ok &= side[i + 1 :] != side[i]
-        for j in np.flatnonzero(ok) + i + 1:
-            if label[i] != label[j]:
-                label[label == label[j]] = label[i]
-                links.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
-    import pandas as pd
-
-    return pd.DataFrame(links, columns=["src", "dst"]).astype("int64")
-
-
-def _compared(left: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges among all that is left of each bucket (node, band), compared in pairs block by block."""
-    total = left.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    n = F.ceil(F.col("n") / SKETCHES).cast("int")
-    marks = nodes.select(F.col("doc_id").alias("node"), "marks")
-    rows = left.join(total, "band").select("node", "band", n.alias("blocks"), F.pmod(F.xxhash64("node"), n).cast("int").alias("block")).join(marks, "node")
-    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "node", "marks", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side")
-    )
-    return dealt.groupBy("band", "i", "j").applyInPandas(_agreeing, "src long, dst long").distinct()
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), COORDINATES)
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """Edges (src, dst) that connect all documents of a bucket of which sketches agree in half of their marks or more.
+class _Parts:
+    """Which part each row of a task belongs to, and the links that joined parts."""
 
-    Documents are linked to the least one of their bucket, where sketches allow it.  For ROUNDS rounds, those that stay
-    try the next: all that are apart from it, and linked ones unless so near to it (STAY) that nothing apart from it can
-    be their near copy, as unequal marks obey the triangle inequality.  What is left then is compared in all pairs.
-    """
-    left = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
-    found = None
-    for i in range(ROUNDS):
-        hubs = left.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-        linked = left.join(hubs, "band").where("node <> hub")
-        linked = common.materialise(linked, f"buckets{i}")
-        pairs = linked.select("node", "hub").distinct()
-        marks = nodes.select(F.col("doc_id").alias("node"), F.col("marks").alias("a"))
-        hub_marks = nodes.select(F.col("doc_id").alias("hub"), F.col("marks").alias("b"))
-        judged = common.materialise(pairs.join(marks, "node").join(hub_marks, "hub").select("node", "hub", _share("a", "b").alias("share")), f"pairs{i}")
-        edges = judged.where(F.col("share") >= LEAST_SHARE).select(F.col("node").alias("src"), F.col("hub").alias("dst"))
-        found = edges if found is None else found.union(edges)
-        stay = judged.where(F.col("share") < STAY)
-        if stay.limit(1).count() == 0:
-            return found
-        left = linked.join(stay.select("node", "hub").distinct(), ["node", "hub"]).select("node", "band")
-    left = common.materialise(left, "unlike")
-    return found.union(common.materialise(_compared(left, nodes), "compared"))
-
-
-def _joined(width: int):
-    def f(batches):
-        for batch in batches:
-            sets = [shingles(t, width).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "group", "block", "blocks")] + [pa.array(sets, pa.binary())], names=["doc_id", "group", "block", "blocks", "set"])
+    def __init__(self, part: np.ndarray):
+        self.part, self.label, self.links = part, np.unique(part, return_inverse=True)[1], []
 
-    return f
+    def join(self, i: int, js: np.ndarray) -> None:
+        for j in js.tolist():
+            if self.label[i] != self.label[j]:
+                self.links.append((int(self.part[i]), int(self.part[j])))
+                self.label[self.label == self.label[j]] = self.label[i]
+
+    def table(self) -> pa.Table:
+        src, dst = zip(*self.links) if self.links else ((), ())
+        return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
+
+
+def _across(side: np.ndarray):
+    """(i, rows that i is compared with): side 0 with side 1, or all with all where there is one side."""
+    one, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(one) or not len(other):
+        every = np.arange(len(side))
+        return ((i, every[i + 1 :]) for i in range(len(side) - 1))
+    return ((i, other) for i in one.tolist())
+
+
+def _agreeing(rows: pa.Table) -> pa.Table:
+    """Links of parts of a bucket of which sketches agree: a spanning forest of the pairs of two blocks."""
+    marks, parts = _matrix(rows["marks"]), _Parts(rows["part"].to_numpy())
+    for i, others in _across(rows["side"].to_numpy()):
+        others = others[parts.label[others] != parts.label[i]]
+        if len(others):
+            parts.join(i, others[(marks[others] == marks[i]).mean(1) >= LEAST_SHARE])
+    return parts.table()
 
 
 def _verified(percent: int):
-    """Exact links among the documents of two blocks: a spanning forest of them."""
-
-    def f(key, rows):
-        sets = [np.frombuffer(x, _U) for x in rows["set"]]
-        ids, side = rows["doc_id"].to_numpy(), rows["side"].to_numpy()
-        size = np.array([len(x) for x in sets])
-        parent = np.arange(len(ids))
-
-        def root(i):
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        value, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-        order = np.argsort(value, kind="stable")
-        value, owner = value[order], owner[order]
-        begin = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
-        slot = np.empty(len(order), np.int64)
-        slot[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(value))))
-        until, at = np.append(begin[1:], len(value)), 0
-        links = []
-        both = (side == 0).any() and (side == 1).any()
-        for i in range(len(ids)):
-            mine = slot[at : at + size[i]]
-            at += size[i]
-            lengths = until[mine] - begin[mine]
-            pick = np.repeat(begin[mine] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-            shared = np.bincount(owner[pick], minlength=len(ids))
-            ok = 100 * shared >= percent * (size[i] + size - shared)
-            ok[: i + 1] = False
-            if both:
-                ok &= side != side[i]
-            for j in np.flatnonzero(ok):
-                a, b = root(i), root(j)
-                if a != b:
-                    parent[b] = a
-                    links.append((ids[i], ids[j]))
-        import pandas as pd
-
-        return pd.DataFrame(links, columns=["src", "dst"]).astype("int64")
+    """Links of parts by the exact similarity of two of their documents: a spanning forest of the pairs of two blocks."""
+
+    def f(rows: pa.Table) -> pa.Table:
+        marks, parts = _matrix(rows["marks"]), _Parts(rows["part"].to_numpy())
+        sets = [np.frombuffer(x, _U) for x in rows["set"].to_pylist()]
+        size = np.array([len(x) for x in sets], np.int64)
+        end = np.cumsum(size)
+        begin = end - size
+        slot = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32) if len(sets) else np.empty(0, np.int32)
+        said = np.zeros(int(slot.max()) + 1 if len(slot) else 1, bool)
+        for i, others in _across(rows["side"].to_numpy()):
+            others = others[parts.label[others] != parts.label[i]]
+            if not len(others):
+                continue
+            others = others[(marks[others] == marks[i]).mean(1) >= LEAST_SHARE]
+            if not len(others):
+                continue
+            said[slot[begin[i] : end[i]]] = True
+            shared = np.array([np.count_nonzero(said[slot[begin[j] : end[j]]]) for j in others.tolist()])
+            said[slot[begin[i] : end[i]]] = False
+            parts.join(i, others[100 * shared >= percent * (size[i] + size[others] - shared)])
+        return parts.table()
 
     return f
 
 
-def _links(docs: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
-    """Exact links among candidate groups; groups beyond BLOCK documents are compared block by block."""
-    groups = components(candidates, "candidates")
-    total = groups.groupBy("component").agg(F.count("*").alias("n"))
-    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK).cast("long")).cast("int")
-    members = groups.join(total, "component").select(F.col("node").alias("_d"), F.col("component").alias("group"), chunk.alias("block"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = common.materialise(members, "members")
-    few = common.broadcast_if_small(members, members.count(), 32)
-    sets = docs.join(few, F.col("doc_id") == F.col("_d")).select("doc_id", "text", "group", "block", "blocks")
-    sets = common.materialise(sets.mapInArrow(_joined(width), "doc_id long, group long, block int, blocks int, set binary"), "sets")
-    other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = sets.withColumn("other", other).select(
-        "doc_id", "set", "group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side")
-    )
-    return dealt.groupBy("group", "i", "j").applyInPandas(_verified(percent), "src long, dst long")
+_EDGE = "src long, dst long"
+
+
+def _block_pairs(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
+    """Rows (``key``, node, part, ...) dealt to pairs of blocks (i, j) of their key, with the side they stand on.
+
+    Only keys with several parts are dealt.  The largest part has blocks of its own, which are not paired with each
+    other.  ``blocks`` is how many blocks so many nodes (n) of so many shingles (weight) take.
+    """
+    total = rows.groupBy(key, "part").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"))
+    top = total.groupBy(key).agg(F.max(F.struct("n", "weight", "part")).alias("top"), F.sum("n").alias("n"), F.sum("weight").alias("weight"), F.count("*").alias("_parts")).where("_parts > 1")
+    many = top.select(F.col("top.n").alias("n"), F.col("top.weight").alias("weight"), F.col("top.part").alias("_top"), key, (F.col("n") - F.col("top.n")).alias("n2"), (F.col("weight") - F.col("top.weight")).alias("w2"))
+    many = many.withColumn("_a", blocks.cast("int")).withColumns({"n": F.col("n2"), "weight": F.col("w2")}).withColumn("_b", blocks.cast("int")).select(key, "_top", "_a", "_b")
+    rows = rows.drop("weight").join(many, key).withColumn("_h", F.xxhash64("node", F.lit("block")))
+    inside = F.col("part") == F.col("_top")
+    rows = rows.withColumn("_own", F.when(inside, F.pmod("_h", "_a")).otherwise(F.col("_a") + F.pmod("_h", "_b")).cast("int"))
+    first = F.when(inside, F.col("_a")).otherwise(F.lit(0))
+    rows = rows.withColumn("_other", F.explode(F.sequence(first, F.col("_a") + F.col("_b") - 1)))
+    side = F.when(F.col("_own") <= F.col("_other"), 0).otherwise(1)
+    return rows.withColumns({"i": F.least("_own", "_other"), "j": F.greatest("_own", "_other"), "side": side}).drop("_h", "_a", "_b", "_top", "_own", "_other")
+
+
+def _part_of(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """rows with ``part``: the label of their node, itself where it has none."""
+    return rows.join(labels.select(F.col("node").alias("_n"), "component"), F.col("node") == F.col("_n"), "left").withColumn("part", F.coalesce("component", "node")).drop("_n", "component")
+
+
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """Edges (src, dst) that connect all nodes which candidate pairs connect."""
+    marks = nodes.select("node", "marks")
+    left = nodes.select("node", F.explode("bands").alias("band"))
+    hubs = left.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("_m")).where("hub < _m").drop("_m")
+    left = common.materialise(left.join(hubs, "band"), "buckets")
+    pairs = left.where("node <> hub").select("node", "hub").distinct()
+    judged = pairs.join(marks.withColumnRenamed("marks", "a"), "node").join(marks.select(F.col("node").alias("hub"), F.col("marks").alias("b")), "hub")
+    edges = common.materialise(judged.where(_share("a", "b") >= LEAST_SHARE).select(F.col("node").alias("src"), F.col("hub").alias("dst")), "near-hubs")
+    labels = components(edges, "hubs")
+    # buckets whose nodes are still in several parts
+    parted = common.materialise(_part_of(left.select("node", "band"), labels), "parts")
+    rest = _block_pairs(parted.withColumn("weight", F.lit(1)), "band", F.ceil(F.col("n") / SKETCHES)).join(marks, "node")
+    more = common.materialise(rest.select("band", "i", "j", "part", "side", "marks").groupBy("band", "i", "j").applyInArrow(_agreeing, _EDGE).distinct(), "agreeing")
+    return edges.union(more)
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int) -> DataFrame:
+    """(node, marks, weight, set) of the nodes of candidate groups; weight: shingles."""
+
+    def f(batches):
+        for batch in batches:
+            sets = pa.array([shingles(t, width).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("group"), batch.column("marks"), batch.column("weight"), sets], names=["node", "group", "marks", "weight", "set"])
+
+    need = nodes.join(groups, "node").select("node", F.col("component").alias("group"), "marks", F.col("n_shingles").alias("weight"), F.col("rep.doc_id").alias("_d"), F.col("rep.text_hash").alias("_h"))
+    need = common.materialise(need, "members")
+    few = common.broadcast_if_small(need, need.count(), 40 + COORDINATES)
+    texts = docs.join(few, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))).groupBy("node").agg(*[F.first(c).alias(c) for c in ("group", "marks", "weight", "text")])
+    return common.materialise(texts.mapInArrow(f, "node long, group long, marks binary, weight long, set binary"), "sets")
+
+
+def _links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, percent: int) -> DataFrame:
+    """Exact links (src, dst) that connect what is similar within candidate groups."""
+    sets = _sets(docs, nodes, groups, width)
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES), F.lit(1))
+    hub = [F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(HUBS)]
+    total = sets.groupBy("group").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"), F.array(*hub).alias("_hubs")).withColumn("_blocks", blocks.cast("int"))
+    total = common.materialise(total.select("group", "_blocks", "_hubs"), "groups")
+    whole = sets.join(total.where("_blocks = 1").select("group"), "group", "left_semi")
+    kernel = _verified(percent)
+    small = whole.select("group", "marks", "set", F.col("node").alias("part"), F.lit(0).alias("side")).groupBy("group").applyInArrow(kernel, _EDGE)
+    links = common.materialise(small, "links-small")
+    large = total.where("_blocks > 1")
+    if large.limit(1).count() == 0:
+        return links
+    members = sets.join(large, "group")
+    chunk = F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("_blocks")).cast("int")
+    tried = members.select("group", chunk.alias("i"), "marks", "set", F.col("node").alias("part"), F.lit(1).alias("side"))
+    hubs = members.where(F.array_contains("_hubs", F.col("node"))).select("group", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("i"), "marks", "set", F.col("node").alias("part"), F.lit(0).alias("side"))
+    by_hub = common.materialise(tried.union(hubs).groupBy("group", "i").applyInArrow(kernel, _EDGE).distinct(), "links-hubs")
+    parted = _part_of(members.drop("_blocks", "_hubs"), components(by_hub, "parts"))
+    rest = _block_pairs(parted, "group", blocks).select("group", "i", "j", "part", "side", "marks", "set")
+    by_block = common.materialise(rest.groupBy("group", "i", "j").applyInArrow(kernel, _EDGE).distinct(), "links-blocks")
+    return links.union(by_hub).union(by_block)
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row; links have 100 * intersection >= percent * union."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = common.materialise(docs.mapInArrow(_sketched(width), "doc_id long, n_shingles long, set_a long, set_b long, marks binary, bands array<long>"), "sketches")
-    kinds = rows.where("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("first"))
-    kinds = common.materialise(kinds, "kinds")
-    nodes = rows.join(kinds.select(F.col("set_a").alias("_a"), F.col("set_b").alias("_b"), "first"), (F.col("doc_id") == F.col("first")) & (F.col("set_a") == F.col("_a")) & (F.col("set_b") == F.col("_b")))
-    nodes = common.materialise(nodes.select("doc_id", "marks", "bands"), "nodes")
-    first_docs = docs
-    links = common.materialise(_links(first_docs, _candidates(nodes), width, percent), "links")
+    """doc_id, text_hash, n_shingles, component_id, leader of every row; links have 100 * intersection >= percent * union.
+
+    component_id is the least doc_id of the group, leader the row of that doc_id (of several the one of least text_hash).
+    """
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    rows = docs.mapInArrow(_sketched(width), "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, marks binary, bands array<long>")
+    rows = common.materialise(rows, "sketches")
+    some = rows.where("n_shingles > 0")
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("rep")
+    nodes = some.groupBy("set_a", "set_b").agg(rep, *[F.first(c).alias(c) for c in ("n_shingles", "marks", "bands")])
+    nodes = common.materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    links = _links(docs, nodes, components(_candidates(nodes), "candidates"), width, percent)
     labels = components(links, "links")
-    named = kinds.join(labels, F.col("first") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("component", "first").alias("component_id"))
-    some = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"])
-    none = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return some.select("doc_id", "n_shingles", "component_id").union(none)
+    named = _part_of(nodes.select("node", "set_a", "set_b", "rep"), labels)
+    reps = named.groupBy("part").agg(F.min("rep").alias("first"))
+    named = named.join(reps, "part").select("set_a", "set_b", "first")
+    leader = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    linked = some.select("doc_id", "text_hash", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"])
+    linked = linked.select("doc_id", "text_hash", "n_shingles", F.col("first.doc_id").alias("component_id"), leader.alias("leader"))
+    none = rows.where("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("leader"))
+    return linked.union(none)
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(common.documents(spark, sf_dir), width=4, percent=80)
-    return groups.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return groups.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

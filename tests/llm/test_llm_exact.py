@@ -252,11 +252,11 @@ def test_candidates_among_hundreds_of_unlike_documents(spark, monkeypatch, most)
     rng = np.random.default_rng(6)
     marks = rng.integers(0, 256, (400, near_dedup.COORDINATES)).astype(np.uint8)
     marks[390, :102] = marks[380, :102]  # near copies, far behind the first documents of their bucket
-    marks[201, :48] = marks[0, :48]  # like the first document, by little,
+    marks[201, :80] = marks[0, :80]  # like the first document, by little,
     marks[202] = marks[201]
-    marks[202, :24] = 255 - marks[0, :24]  # where its near copy is not
+    marks[202, :40] = 255 - marks[0, :40]  # where its near copy is not
     rows = [(i, m.tobytes(), [7]) for i, m in enumerate(marks)]
-    edges = near_dedup._candidates(spark.createDataFrame(rows, "doc_id long, marks binary, bands array<long>"))
+    edges = near_dedup._candidates(spark.createDataFrame(rows, "node long, marks binary, bands array<long>"))
     label = {r["node"]: r["component"] for r in near_dedup.components(edges, "test").collect()}
     assert label == {380: 380, 390: 380, 0: 0, 201: 0, 202: 0}
 
