@@ -225,6 +225,11 @@ def _verified(percent: int):
 _EDGE = "src long, dst long"
 
 
+def _in_tasks(rows: DataFrame, *keys: str):
+    """rows grouped by keys, each group dealt by all of them: a join by the first alone must not fix where groups go."""
+    return rows.repartition(*keys).groupBy(*keys)
+
+
 def _block_pairs(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
     """Rows (``key``, node, part, ...) dealt to pairs of blocks (i, j) of their key, with the side they stand on.
 
@@ -262,7 +267,7 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     # buckets whose nodes are still in several parts
     parted = common.materialise(_part_of(left.select("node", "band"), labels), "parts")
     rest = _block_pairs(parted.withColumn("weight", F.lit(1)), "band", F.ceil(F.col("n") / SKETCHES)).join(marks, "node")
-    more = common.materialise(rest.select("band", "i", "j", "part", "side", "marks").groupBy("band", "i", "j").applyInArrow(_agreeing, _EDGE).distinct(), "agreeing")
+    more = common.materialise(_in_tasks(rest.select("band", "i", "j", "part", "side", "marks"), "band", "i", "j").applyInArrow(_agreeing, _EDGE).distinct(), "agreeing")
     return edges.union(more)
 
 
@@ -299,10 +304,10 @@ def _links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, per
     chunk = F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("_blocks")).cast("int")
     tried = members.select("group", chunk.alias("i"), "marks", "set", F.col("node").alias("part"), F.lit(1).alias("side"))
     hubs = members.where(F.array_contains("_hubs", F.col("node"))).select("group", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("i"), "marks", "set", F.col("node").alias("part"), F.lit(0).alias("side"))
-    by_hub = common.materialise(tried.union(hubs).groupBy("group", "i").applyInArrow(kernel, _EDGE).distinct(), "links-hubs")
+    by_hub = common.materialise(_in_tasks(tried.union(hubs), "group", "i").applyInArrow(kernel, _EDGE).distinct(), "links-hubs")
     parted = _part_of(members.drop("_blocks", "_hubs"), components(by_hub, "parts"))
     rest = _block_pairs(parted, "group", blocks).select("group", "i", "j", "part", "side", "marks", "set")
-    by_block = common.materialise(rest.groupBy("group", "i", "j").applyInArrow(kernel, _EDGE).distinct(), "links-blocks")
+    by_block = common.materialise(_in_tasks(rest, "group", "i", "j").applyInArrow(kernel, _EDGE).distinct(), "links-blocks")
     return links.union(by_hub).union(by_block)
 
 
