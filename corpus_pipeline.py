@@ -24,14 +24,25 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8) stays, the one of least doc_id."""
-    groups = near_dedup.near_groups(docs, width=5, percent=80)
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ids = common.materialise(groups.groupBy(F.col("doc_id").alias("_d")).agg(F.max(first).alias("first"), F.count("*").alias("n")), "ids")
-    copies = ids.where(~F.col("first")).select("_d")
-    gone = common.broadcast_if_small(copies, copies.count(), 16)
-    out = docs.select(*COLUMNS).join(gone, F.col("doc_id").eqNullSafe(F.col("_d")), "left_anti")
-    return out.dropDuplicates(["doc_id", "text"]) if ids.where("first and n > 1").limit(1).count() else out
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8) stays, the one of least doc_id.
+
+    Of rows that agree in doc_id and text one stays, unless the text has no words.
+    """
+    groups = near_dedup.near_groups(docs, width=5, percent=80).where("n_shingles > 0")
+    keys = groups.groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(F.max("leader").alias("leader"), F.count("*").alias("n"))
+    keys = common.materialise(keys, "keys")
+    docs = docs.select(*COLUMNS)
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h"))
+
+    def these(rows: DataFrame) -> DataFrame:
+        return common.broadcast_if_small(rows.select("_d", "_h"), rows.count(), 24)
+
+    out = docs.join(these(keys.where("not leader")), same, "left_anti")
+    repeated = keys.where("leader and n > 1")
+    if repeated.limit(1).count() == 0:
+        return out
+    once = docs.join(these(repeated), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return out.join(these(repeated), same, "left_anti").unionByName(once)
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
