@@ -8,8 +8,11 @@ rarest of each window is joined.  A hit fixes where the window would start;
 positional bounds (start not before the text, end not after it) and the window's
 length drop impossible starts, and the words of the remaining ones are compared.
 
-Shingles have ``SHINGLE`` words, fewer in items that are shorter.  A null text
-has no words.  Other columns are ignored; documents keep one row each.
+Shingles have ``SHINGLE`` words, fewer in items that are shorter.  A null or
+empty text, and one of no words, is never hit; an empty table gives an empty
+result.  Every row is a document of its own, also where rows share a doc_id or
+have none, and gives one row; equal windows of several items count for each.
+Other columns, whatever their names, are ignored, and kept by ``clean``.
 """
 
 from __future__ import annotations
@@ -39,32 +42,36 @@ def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return items.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("t", i, window))).alias("words")).distinct()
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, text: rows are told apart by doc_id and text, whatever doc_id is (null too)."""
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+
+
 def _shingle_hits(docs: DataFrame, grams: DataFrame, sizes: list[int], n_grams: int) -> DataFrame:
-    """(doc_id, at, gram, size): where documents hold the windows' shingles."""
-    rows = docs.select("doc_id", common.words(F.col("text")).alias("t"))
+    """(doc_id, text_hash, at, gram, size): where documents hold the windows' shingles."""
+    rows = docs.select("doc_id", "text_hash", common.words(F.col("text")).alias("t"))
+
     def placed(size: int) -> Column:
         return F.transform(_grams(F.col("t"), size), lambda h, i: F.struct(h.alias("gram"), i.alias("at"), F.lit(size).alias("size")))
 
     every = F.flatten(F.array(*[placed(k) for k in sizes]))
-    found = rows.select("doc_id", F.explode(every).alias("g")).select("doc_id", "g.gram", "g.at", "g.size")
+    found = rows.select("doc_id", "text_hash", F.explode(every).alias("g")).select("doc_id", "text_hash", "g.gram", "g.at", "g.size")
     return found.join(common.broadcast_if_small(grams, n_grams, 16), ["gram", "size"], "left_semi")
 
 
-def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, spans, items): where windows of which items occur; documents without any are absent."""
+def _candidates(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
+    """(_d, _h, c): where in which documents windows may start; documents without any are absent."""
     wins = windows(benchmark, window)
-    key = F.xxhash64("words")
-    kinds = common.materialise(
-        wins.groupBy("words").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")).withColumn("n", F.size("words")).withColumn("win", key), "windows"
-    )
+    kinds = wins.groupBy("words").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")).withColumn("n", F.size("words"))
+    kinds = common.materialise(kinds.withColumn("win", F.monotonically_increasing_id()), "windows")
     size = F.least(F.lit(shingle), F.col("n"))
     parts = kinds.select("win", size.alias("size"), F.posexplode(_grams(F.col("words"), size)).alias("off", "gram"))
     grams = common.materialise(parts.select("gram", "size").distinct(), "grams")
     sizes = sorted(r[0] for r in grams.select("size").distinct().collect())  # 1 to SHINGLE
     if not sizes:
-        return docs.select("doc_id", F.array().cast("array<struct<s:int,n:int>>").alias("spans"), F.array().cast("array<bigint>").alias("items")).where(F.lit(False))
-    n_grams = grams.count()
-    hits = common.materialise(_shingle_hits(docs, grams, sizes, n_grams), "hits")
+        spot = "struct<s:int,n:int,words:array<string>,item_ids:array<bigint>>"
+        return docs.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.array().cast(f"array<{spot}>").alias("c")).where(F.lit(False))
+    hits = common.materialise(_shingle_hits(docs, grams, sizes, grams.count()), "hits")
     rarity = hits.groupBy("gram", "size").agg(F.count("*").alias("seen"))
     # a shingle that no document holds is the rarest of all: its windows have no hit, and none is needed
     ranked = parts.join(rarity, ["gram", "size"], "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
@@ -72,16 +79,19 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shing
     prefix = prefix.select("win", "p.gram", "p.off", "p.size").join(kinds.select("win", "n", "words", "item_ids"), "win").drop("win")
     prefix = common.materialise(prefix, "prefix")
     small = common.broadcast_if_small(prefix, prefix.count(), 400)
-    cands = hits.join(small, ["gram", "size"]).select("doc_id", (F.col("at") - F.col("off")).alias("s"), "n", "words", "item_ids").where("s >= 0")
-    grouped = common.materialise(cands.groupBy("doc_id").agg(F.collect_set(F.struct("s", "n", "words", "item_ids")).alias("c")), "candidates")
-    # candidates grow with the documents: joined by shuffle at every size
-    texts = docs.join(grouped.withColumnRenamed("doc_id", "_d").hint("merge"), F.col("doc_id") == F.col("_d")).select("doc_id", common.words(F.col("text")).alias("t"), "c")
-    sure = common.let(F.col("t"), lambda t: F.filter("c", lambda x: (x.s + x.n <= F.size(t)) & (F.slice(t, x.s + 1, x.n) == x.words)))
-    return (
-        texts.select("doc_id", sure.alias("c"))
-        .where(F.size("c") > 0)
-        .select("doc_id", F.array_sort(F.transform("c", lambda x: F.struct(x.s.cast("int").alias("s"), x.n.cast("int").alias("n")))).alias("spans"), F.array_distinct(F.flatten(F.col("c.item_ids"))).alias("items"))
-    )
+    cands = hits.join(small, ["gram", "size"]).select("doc_id", "text_hash", (F.col("at") - F.col("off")).alias("s"), "n", "words", "item_ids").where("s >= 0")
+    grouped = cands.groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(F.collect_set(F.struct("s", "n", "words", "item_ids")).alias("c"))
+    return common.materialise(grouped, "candidates")
+
+
+def _with_candidates(rows: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Candidates grow with the documents, so they are joined by shuffle at every size."""
+    return rows.join(candidates.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left")
+
+
+def _occurring(tokens: Column, candidates: Column) -> Column:
+    """The candidates whose words stand where they should."""
+    return F.filter(candidates, lambda x: (x.s + x.n <= F.size(tokens)) & (F.slice(tokens, x.s + 1, x.n) == x.words))
 
 
 def _covered(spans: Column) -> Column:
@@ -95,25 +105,42 @@ def _covered(spans: Column) -> Column:
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans."""
-    hits = hit_spans(docs.select("doc_id", "text"), benchmark, window)
-    hits = hits.select(F.col("doc_id").alias("_d"), "spans", F.array_sort(F.transform("items", lambda x: x.cast("string"))).alias("items"))
-    every = docs.select("doc_id", F.size(common.words(F.col("text"))).cast("long").alias("n_words"))
-    return every.join(hits, F.col("doc_id") == F.col("_d"), "left").select(
+def located(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """Per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans, items."""
+    rows = _rows(docs)
+    found = _with_candidates(rows, _candidates(rows, benchmark, window, shingle))
+    kept = common.let(
+        common.words(F.col("text")),
+        lambda t: F.struct(F.size(t).cast("long").alias("n"), F.when(F.col("c").isNotNull(), _occurring(t, F.col("c"))).alias("c")),
+    )
+    none = F.array()
+    spans = F.coalesce(F.array_sort(F.transform("r.c", lambda x: F.struct(x.s.cast("int").alias("s"), x.n.cast("int").alias("n")))), none.cast("array<struct<s:int,n:int>>"))
+    items = F.coalesce(F.array_sort(F.array_distinct(F.transform(F.flatten(F.col("r.c.item_ids")), lambda x: x.cast("string")))), none.cast("array<string>"))
+    out = found.select("doc_id", kept.alias("r")).select("doc_id", F.col("r.n").alias("n_words"), spans.alias("spans"), items.alias("items"))
+    return out.select(
         "doc_id",
         "n_words",
         F.coalesce(_covered(F.col("spans")), F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
-        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
-        F.col("spans").isNotNull().alias("contaminated"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+        "spans",
+        "items",
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs without the documents in which a window of an item occurs."""
-    hits = hit_spans(docs.select("doc_id", "text"), benchmark, window).select(F.col("doc_id").alias("_d"))
-    return docs.join(hits, F.col("doc_id") == F.col("_d"), "left_anti")
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    return located(docs, benchmark, window).drop("spans", "items")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """docs without the documents in which a window of an item occurs; all columns of docs stay."""
+    every = docs.columns
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*every).alias("_row"))
+    found = _with_candidates(rows, _candidates(_rows(docs), benchmark, window, shingle))
+    hit = common.let(common.words(F.col("_row.text")), lambda t: F.size(_occurring(t, F.col("c"))) > 0)
+    return found.where(F.col("c").isNull() | ~hit).select("_row.*")
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
