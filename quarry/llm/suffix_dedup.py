@@ -1,12 +1,13 @@
 """Removal of repeated byte strings through a sparse suffix array.
 
 Suffixes that windows select (see ``anchors``) stand for all suffixes.  Splitters
-sampled from the suffixes' leading tokens (their first eight bytes, as one
-integer) range-partition them; every bucket is sorted by multikey quicksort on
-(leading token, gram, surroundings), so that equal strings stand side by side.
-Splitters are whole leading tokens and equal strings share theirs, so a run of
-equal suffixes can't cross a bucket's boundary as long as every boundary falls
-between two tokens; ``_bucket_of`` sends all of a token to one side.
+sampled from the suffixes' leading tokens (their first five bytes, and 24 bits of
+the hash of their first ``GRAM`` bytes, as one integer) range-partition them, so
+that a token which very many suffixes start with is dealt to many buckets; every
+bucket is sorted by multikey quicksort on (leading token, gram, surroundings), so
+that equal strings stand side by side.  Splitters are whole leading tokens and
+equal strings share theirs, so a run of equal suffixes can't cross a bucket's
+boundary; ``_bucket_of`` sends all of a token to one side.
 
 1. Suffixes with the same surroundings (all bytes of all windows that select
    them) repeat the earliest of them in full.
@@ -16,8 +17,14 @@ between two tokens; ``_bucket_of`` sends all of a token to one side.
    per window which map tasks combine first.
 3. Each document gets its repeated windows back and drops the bytes they cover.
 
-A null text is empty.  Documents shorter than ``span`` bytes keep everything.
-Rows that share a doc_id count as one document's.  Other columns are ignored.
+Strings are equal where 64 bits of their content's hash are and where, besides,
+the hash of the gram inside them (64 bits) and its place are.
+
+A null text is empty; an empty table gives an empty result.  Documents shorter
+than ``span`` bytes keep everything.  Every row is a document of its own.  Rows
+that share a doc_id come in the order of their text's hash, and rows without one
+last; of rows that agree in both, one is the first and the others repeat it.
+Other columns, whatever their names, are ignored, or kept by ``without_repeats``.
 """
 
 from __future__ import annotations
@@ -71,12 +78,12 @@ def _join(raw, parts):
     return data, ends, np.array([p[0] for p in parts]), np.array([p[1] for p in parts])
 
 
-def _lead(data: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """The eight bytes at p as an integer that sorts as they do."""
+def _lead(data: np.ndarray, p: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """The leading token at p: five bytes, which sort as they do, and then bits of the gram's hash."""
     out = np.zeros(len(p), _U)
-    for k in range(8):
+    for k in range(5):
         out = (out << _U(8)) | data[p + k].astype(_U)
-    return (out ^ _U(1 << 63)).view(np.int64)
+    return (((out << _U(24)) | (gram >> _U(40))) ^ _U(1 << 63)).view(np.int64)
 
 
 def _suffixes(raw, at, ids, span, gram):
@@ -88,7 +95,7 @@ def _suffixes(raw, at, ids, span, gram):
         start = np.append(0, ends[:-1])[part]
         shape = ((p - a) << 8 | (b - a)).astype(np.int32)
         around = anchors.mix(anchors.of_slices(sums, a, b + span) + shape.astype(_U))
-        out.append((_lead(data, p), h.view(np.int64), around.view(np.int64), ids[doc[part]], a - start + offset[part], shape))
+        out.append((_lead(data, p, h), h.view(np.int64), around.view(np.int64), ids[doc[part]], a - start + offset[part], shape))
     if not out:
         z = np.empty(0, np.int64)
         return z, z, z, z, z, z.astype(np.int32)
@@ -99,11 +106,22 @@ def _bucket_of(lead: np.ndarray, splitters: np.ndarray) -> np.ndarray:
     return np.searchsorted(splitters, lead, side="right").astype(np.int32)
 
 
+def _slices(batches, size: int = 8 << 20):
+    """The batches' rows, about ``size`` bytes of text at a time."""
+    for batch in batches:
+        at = common.text_bytes(batch.column("text"))[1]
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(at, at[i] + size, side="right")) - 1)
+            yield batch.slice(i, j - i)
+            i = j
+
+
 def _emit(splitters, span, gram):
     def f(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             raw, at = common.text_bytes(batch.column("text"))
-            ids = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             lead, g, around, doc, first, shape = _suffixes(raw, at, ids, span, gram)
             # the earliest of the batch's equal suffixes stands for them; the others repeat it and go anywhere
             order = np.lexsort([first, doc, around, g])
@@ -197,7 +215,7 @@ def _fetch(span):
 
 
 def _windows(span, gram, doc, first, shape, pieces):
-    """(gram and content hash, document, start) of each window of the fetched bytes."""
+    """(gram, content hash at its place, document, start) of each window of the fetched bytes."""
     lengths = np.array([len(x) for x in pieces], np.int64)
     data = np.frombuffer(b"".join(pieces), np.uint8)
     sums = anchors.prefix(data)
@@ -209,7 +227,7 @@ def _windows(span, gram, doc, first, shape, pieces):
     content = anchors.of_slices(sums, at, at + span)
     place = ((shape[row] >> 8) - off).astype(np.int64).astype(_U)
     key = anchors.mix(content + anchors.mix(gram[row].view(_U) + place))
-    return key.view(np.int64), doc[row], first[row] + off
+    return gram[row], key.view(np.int64), doc[row], first[row] + off
 
 
 def _chunks(rows: int, step: int):
@@ -233,17 +251,16 @@ def _compare_windows(span):
             while j < len(groups) and groups[j] - groups[i] < 20_000:
                 j += 1
             rows = order[groups[i] : groups[j] if j < len(groups) else len(order)]
-            key, d, s = _windows(span, gram[rows], doc[rows], first[rows], shape[rows], [pieces[r] for r in rows])
-            yield _later(key, d, s)
+            yield _later(*_windows(span, gram[rows], doc[rows], first[rows], shape[rows], [pieces[r] for r in rows]))
             i = j
 
     return f
 
 
-def _later(key, doc, start) -> pa.RecordBatch:
+def _later(gram, key, doc, start) -> pa.RecordBatch:
     """Runs of windows that aren't the earliest of their kind, as (doc_id, first, shape with its last offset)."""
-    order = multikey_quicksort([key, doc, start])
-    again = order[~_new(key[order])]
+    order = multikey_quicksort([key, gram, doc, start])
+    again = order[~_new(key[order], gram[order])]
     d, s = doc[again], start[again]
     o = np.lexsort([s, d])
     d, s = d[o], s[o]
@@ -264,19 +281,20 @@ def _deal_windows(span):
             gram, doc, first, shape = _table([b], ("gram", "doc_id", "first", "shape"))
             if not len(gram):
                 continue
-            key, d, s = _windows(span, gram, doc, first, shape, b.column("bytes").to_pylist())
-            order = multikey_quicksort([key, d, s])
-            new = _new(key[order])
+            g, key, d, s = _windows(span, gram, doc, first, shape, b.column("bytes").to_pylist())
+            order = multikey_quicksort([key, g, d, s])
+            new = _new(key[order], g[order])
             for again, rows in ((False, order[new]), (True, order[~new])):
-                yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(d[rows]), pa.array(s[rows]), pa.array(np.full(len(rows), again))], names=["key", "doc_id", "start", "again"])
+                cols = [pa.array(x[rows]) for x in (g, key, d, s)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(np.full(len(rows), again))], names=["gram", "key", "doc_id", "start", "again"])
 
     return f
 
 
 def _compare_dealt(batches):
-    key, doc, start, again = _table(batches, ("key", "doc_id", "start", "again"))
+    gram, key, doc, start = _table(batches, ("gram", "key", "doc_id", "start"))
     if len(key):
-        yield _later(key, doc, start)
+        yield _later(gram, key, doc, start)
 
 
 def _splitters(docs: DataFrame, buckets: int, span: int, gram: int, per_bucket: int = 200) -> np.ndarray:
@@ -300,7 +318,7 @@ def _splitters(docs: DataFrame, buckets: int, span: int, gram: int, per_bucket:
 
 
 def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """(doc_id, first, shape): byte strings of ``span`` at first .. first + (shape & 255) also start earlier."""
+    """(doc_id, first, shape): byte strings of ``span`` at first .. first + (shape & 255) also start earlier; doc_id is unique."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     buckets = common.partitions(spark)
@@ -311,7 +329,7 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     pieces = common.materialise(docs.join(asked, "doc_id").mapInArrow(_fetch(span), "gram long, kind int, doc_id long, first long, shape int, bytes binary"), "pieces", tidy=True)
     out = "doc_id long, first long, shape int"
     few = pieces.where("kind = 1").repartition(buckets, "gram").mapInArrow(_compare_windows(span), out)
-    dealt = pieces.where("kind = 2").mapInArrow(_deal_windows(span), "key long, doc_id long, start long, again boolean")
+    dealt = pieces.where("kind = 2").mapInArrow(_deal_windows(span), "gram long, key long, doc_id long, start long, again boolean")
     many = dealt.repartition(buckets, "key").mapInArrow(_compare_dealt, out)
     return found.where("kind = 0").select("doc_id", "first", "shape").unionByName(few).unionByName(many)
 
@@ -331,10 +349,23 @@ def _spans_of(value) -> np.ndarray:
     return np.empty(0, np.int64) if value is None else np.asarray(value, np.int64)
 
 
+def keyed(docs: DataFrame, key: str = "__key") -> DataFrame:
+    """docs with a unique number for each row, in the order in which documents come: doc_id where that is one already."""
+    own = F.col("doc_id").cast("long")
+    ids = docs.groupBy(own.alias("d")).agg(F.count("*").alias("n"))
+    if ids.where("n > 1 or d is null").limit(1).count() == 0:
+        return docs.withColumn(key, own)
+    # ties go by where a row stands, so that equal rows spread over the sorted ranges
+    docs = docs.withColumn("__place", F.monotonically_increasing_id())
+    return common.materialise(docs.orderBy(own.asc_nulls_last(), F.xxhash64("text"), "__place").drop("__place").withColumn(key, F.monotonically_increasing_id()), "keyed")
+
+
 def with_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """docs with ``__repeats``: packed starts and lengths of each document's repeated windows (null: none)."""
-    packed = repeated(docs, span, gram).groupBy("doc_id").agg(F.collect_list(F.shiftleft("first", 8).bitwiseOR(F.col("shape").bitwiseAND(255))).alias("__repeats"))
-    return docs.join(packed.withColumnRenamed("doc_id", "__d"), F.col("doc_id").cast("long") == F.col("__d"), "left").drop("__d")
+    docs = keyed(docs)
+    packed = repeated(docs.select(F.col("__key").alias("doc_id"), "text"), span, gram).groupBy("doc_id")
+    packed = packed.agg(F.collect_list(F.shiftleft("first", 8).bitwiseOR(F.col("shape").bitwiseAND(255))).alias("__repeats"))
+    return docs.join(packed.withColumnRenamed("doc_id", "__d"), F.col("__key") == F.col("__d"), "left").drop("__d", "__key")
 
 
 def digest(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
