@@ -5,10 +5,12 @@ plan, so the plan is exact for all pieces and of bounded size.  For every gap
 that a longest remaining piece leaves, single lengths, sums of pairs and sums of
 triples are looked up by their sum; combinations that fill the gap exactly are
 consumed as often as the availability counts allow.  Where no exact complement
-is left, the best fits go in, one after the other.  Pieces then get their places by their rank
-within their length, without any group meeting in one task.
+is left, the best fits go in, one after the other.  Pieces then get their places
+by their rank within their length, without any group meeting in one task.
 
-Nulls and empty texts are sequences of the end token alone.
+Null and empty texts are sequences of the end token alone; an empty table gives
+no pieces.  Every row is a document of its own, also where rows share a doc_id;
+pieces of equal length take their places in any order.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -110,7 +112,25 @@ def _pieces(path: str, capacity: int, end_id: int):
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a row, how many such rows) for the given counts of each length."""
+    """(lengths of a row, how many such rows) for the given counts of each length: the fewest rows that are found.
+
+    Exact complements use up short pieces, which the last rows may lack.  So complements are consumed for all longest
+    pieces, or only for those from some length on and best fits below it; of equal plans the one of more complements counts.
+    """
+    least = -(-sum(n * c for n, c in counts.items()) // capacity)
+    best, size = None, 0
+    for part in (0, 1 / 4, 1 / 3, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 1):
+        rows = _plan(counts, capacity, int(part * capacity))
+        total = sum(times for _, times in rows)
+        if best is None or total < size:
+            best, size = rows, total
+        if size == least:
+            break
+    return best
+
+
+def _plan(counts: dict[int, int], capacity: int, lowest: int) -> list[tuple[tuple[int, ...], int]]:
+    """A plan that looks for complements of pieces of at least ``lowest`` tokens, and for best fits of the others."""
     left = np.zeros(capacity + 1, np.int64)
     for n, c in counts.items():
         left[n] = c
@@ -130,13 +150,14 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
         take((capacity,))
     for big in range(capacity - 1, 0, -1):
         gap = capacity - big
-        if left[big] and left[gap]:  # single lengths that fill the gap
+        exact = big >= lowest
+        if exact and left[big] and left[gap]:  # single lengths that fill the gap
             take((big, gap))
-        if left[big]:  # pairs, the largest partner first: it is the harder one to place
+        if exact and left[big]:  # pairs, the largest partner first: it is the harder one to place
             x = np.arange(1, min(gap // 2, gap - 1) + 1)
             for y in x[(left[x] > 0) & (left[gap - x] > 0) & (gap - x <= big)].tolist():
                 take((big, gap - y, y))
-        if left[big]:  # triples, likewise
+        if exact and left[big]:  # triples, likewise
             have = np.flatnonzero(left[: min(gap, big) + 1])
             for x in have[::-1].tolist():
                 rest = gap - x
