@@ -10,10 +10,14 @@ less the share that agree by chance in so few bits.
 Words are what white space separates, in lower case; shingles have ``WIDTH``
 words (a shorter text is one shingle).  Texts without words, null included, have
 the fingerprint of an empty set: they are like each other and unlike others.
+Every row is a document of its own, also where rows share a doc_id (numbers; rows
+without one come last); an empty table gives an empty result.  Other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,8 +30,9 @@ BINS = 1 << BIN_BITS
 BITS = 8
 WIDTH = 5
 PROBES = 24
-#: About how many documents the neighbour search deals to one window.
+#: About how many documents the neighbour search deals to one window, while there are up to so many windows.
 NEIGHBOURS = 256
+MOST_RANGES = 1 << 17
 _LOW = (1 << (64 - BIN_BITS)) - 1
 
 
@@ -97,23 +102,38 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.get(a, F.lit(0)) == 0) | (F.get(b, F.lit(0)) == 0), (F.get(a, F.lit(0)) == F.get(b, F.lit(0))).cast("double")).otherwise(estimate)
 
 
+def _constants(values, kind: str) -> Column:
+    """An array that is one constant of the plan, however long."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def _range_of(value: Column, bounds: list[int]) -> Column:
+    """How many bounds are up to value (null: -1): first among every ``step``-th of them, then inside one step."""
+    if not bounds:
+        return F.when(value.isNull(), F.lit(-1)).otherwise(F.lit(0))
+    step = math.isqrt(len(bounds)) + 1
+    upto = lambda xs: F.size(F.filter(xs, lambda b: b <= value))
+    skipped = (F.greatest(upto(_constants(bounds[::step], "bigint")), F.lit(1)) - 1) * step
+    return F.when(value.isNull(), F.lit(-1)).otherwise(common.let(skipped, lambda s: s + upto(F.slice(_constants(bounds, "bigint"), s + 1, F.lit(step)))).cast("int"))
+
+
 def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """docs with next_<column> of the row that follows in descending key order; the first follows the last.
 
     derive adds columns to rows of docs; it is applied once to all rows, and to the first row of each range.
 
     Rows are dealt to ranges of the key; windows look inside a range, and one row of each range is joined to the
-    range before.  Rows of equal keys follow each other in the order of their text's hash.  Ranges are of equal
-    width: a few very large gaps between keys make ranges uneven but not wrong.
+    range before.  Rows of equal keys follow each other in the order of their text's hash.  Ranges are cut at quantiles
+    of the keys, so gaps between keys don't matter, and their number grows with the rows.
     """
-    bounds = docs.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count("*").alias("n")).first()
-    lo, hi, n = bounds["lo"] or 0, bounds["hi"] or 0, bounds["n"]
-    ranges = max(1, min(1 << 14, n // NEIGHBOURS))
-    width = (hi - lo) // ranges + 1
-    number = F.coalesce(F.floor((F.col(key).cast("double") - F.lit(float(lo))) / F.lit(float(width))).cast("int"), F.lit(-1))
+    n = docs.count()
+    ranges = max(1, min(MOST_RANGES, n // NEIGHBOURS))
+    shares = _constants((i / ranges for i in range(1, ranges)), "double")
+    bounds = docs.agg(F.percentile_approx(F.col(key).cast("long"), shares, F.lit(max(10_000, 4 * ranges)))).first()[0] if ranges > 1 else []
+    number = _range_of(F.col(key).cast("long"), sorted(set(bounds or [])))
     tie = F.xxhash64(columns[0])
     order = Window.partitionBy(F.lit(0)).orderBy(F.col("_h").desc())
-    tops = docs.select(number.alias("_h"), F.col(key).alias("_k")).groupBy("_h").agg(F.max("_k").alias("_k"))  # at most 1 << 14 rows
+    tops = docs.select(number.alias("_h"), F.col(key).alias("_k")).groupBy("_h").agg(F.max("_k").alias("_k"))  # one row for each range
     tops = tops.select("_h", *[F.coalesce(F.lead(c).over(order), F.first(c).over(order.rowsBetween(Window.unboundedPreceding, 0))).alias(f"_next{c}") for c in ("_h", "_k")])
     own = F.struct(*[F.col(c) for c in columns])
     heads = docs.join(F.broadcast(tops), (number == F.col("_next_h")) & F.col(key).eqNullSafe(F.col("_next_k")))
