@@ -100,8 +100,43 @@ def test_lm_learns_from_every_token_once(spark, monkeypatch, tmp_path):
 def test_lm_probabilities_sum_to_one():
     p = lm_scoring.initial(np.arange(lm_scoring.CLASSES, dtype=float))
     flat, at = lm_scoring.padded([np.array([1, 2, 3])])
-    total = lm_scoring._softmax(lm_scoring._hidden(p, flat, at) @ p[2] + p[3]).sum(1)
-    assert np.allclose(total, 1, atol=1e-5) and np.exp(lm_scoring.log_probabilities(p, flat, at)).max() < 1
+    assert np.exp(lm_scoring.log_probabilities(p, flat, at)).max() < 1
+    total = 0.0
+    for c in range(lm_scoring.CLASSES):  # each class in the place of the second token
+        flat[at[1]] = c
+        total += np.exp(lm_scoring.log_probabilities(p, flat, at[1:2]))
+    assert np.allclose(total, 1, atol=1e-4)
+
+
+def test_lm_steps_go_down_the_gradient():
+    rng = np.random.default_rng(3)
+    p = [x + rng.normal(0, 0.1, x.shape).astype(np.float32) for x in lm_scoring.initial(np.ones(lm_scoring.CLASSES))]
+    flat, at = lm_scoring.padded([rng.integers(0, lm_scoring.CLASSES, 50).astype(np.int16) for _ in range(4)])
+    loss = lambda q: -lm_scoring.log_probabilities([x.astype(float) for x in q], flat, at).mean()
+    moved, memory = [x.copy() for x in p], [np.full_like(x, 1e12) for x in p]  # with such a past a step is the gradient / 1e6
+    lm_scoring.train(moved, memory, flat, at, 1e6)
+    for k in range(len(p)):
+        gradient = p[k] - moved[k]
+        spots = rng.permutation(np.flatnonzero(gradient))[:5]
+        for i in spots:
+            up, down = [x.astype(float) for x in p], [x.astype(float) for x in p]
+            up[k].ravel()[i] += 1e-4
+            down[k].ravel()[i] -= 1e-4
+            assert abs((loss(up) - loss(down)) / 2e-4 - gradient.ravel()[i]) < 2e-4 + 0.05 * abs(gradient.ravel()[i])
+
+
+def test_lm_scores_do_not_depend_on_partitions_and_gain_on_word_counts(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(w for _ in range(40) for w in (lambda k: (WORDS[k], WORDS[(k * 7 + 3) % 30]))(rng.randrange(30)))) for i in range(120)]
+    rows += [(5, "two rows of one id"), (5, "two rows of one id"), (None, "no id at all")]
+    one = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [sorted(map(tuple, lm_scoring.score_documents(df).fillna(-1, "doc_id").collect())) for df in (one.coalesce(1), one.repartition(7))]
+    assert len(got[0]) == len(rows) and [x[:2] for x in got[0]] == [x[:2] for x in got[1]]
+    assert np.allclose([x[2] for x in got[0]], [x[2] for x in got[1]], rtol=1e-6)  # sums of 32-bit floats
+    counts = collections.Counter(w for _, t in rows for w in t.split())
+    total = sum(counts.values())
+    unigram = sum(n * np.log(n / total) for n in counts.values()) / total
+    assert sum(x[2] for x in got[0]) / total > unigram + 0.5
 
 
 def test_pipeline_keeps_and_drops(spark, tmp_path):
