@@ -283,7 +283,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int) -> D
     need = common.materialise(need, "members")
     few = common.broadcast_if_small(need, need.count(), 40 + COORDINATES)
     texts = docs.join(few, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))).groupBy("node").agg(*[F.first(c).alias(c) for c in ("group", "marks", "weight", "text")])
-    return common.materialise(texts.mapInArrow(f, "node long, group long, marks binary, weight long, set binary"), "sets")
+    return common.materialise(texts.mapInArrow(common.trimmed(f), "node long, group long, marks binary, weight long, set binary"), "sets")
 
 
 def _links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, percent: int) -> DataFrame:
@@ -317,7 +317,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     component_id is the least doc_id of the group, leader the row of that doc_id (of several the one of least text_hash).
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
-    rows = docs.mapInArrow(_sketched(width), "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, marks binary, bands array<long>")
+    rows = docs.mapInArrow(common.trimmed(_sketched(width)), "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, marks binary, bands array<long>")
     rows = common.materialise(rows, "sketches")
     some = rows.where("n_shingles > 0")
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("rep")

@@ -208,7 +208,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, end
     spark = docs.sparkSession
     path = path or vocabulary_path()
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    pieces = common.materialise(docs.mapInArrow(_pieces(path, capacity, end_id), _PIECES), "pieces")
+    pieces = common.materialise(docs.mapInArrow(common.trimmed(_pieces(path, capacity, end_id)), _PIECES), "pieces")
     totals = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
     places = _places(plan(counts, capacity))

@@ -200,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, tasks: int =
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
     sums = np.zeros((WORDS, DIM))
-    for r in sample.coalesce(tasks).mapInArrow(contexts, "sums binary").collect():  # one matrix of fixed size for each of the tasks
+    for r in sample.coalesce(tasks).mapInArrow(common.trimmed(contexts), "sums binary").collect():  # one matrix of fixed size for each of the tasks
         sums += np.frombuffer(r[0], np.float32).reshape(WORDS, DIM)
     norm = np.linalg.norm(sums, axis=1, keepdims=True)
     words = (index + 0.5 * sums / np.maximum(norm, 1e-6)).astype(np.float32)
@@ -211,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, tasks: int =
             x = features(b.column("text").to_pylist(), words, shapes, codes)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), pa.array([v.tobytes() for v in x], pa.binary())], names=["doc_id", "quality", "x"])
 
-    got = sorted(map(tuple, sample.mapInArrow(pooled, "doc_id long, quality double, x binary").collect()))  # at most ``rows``
+    got = sorted(map(tuple, sample.mapInArrow(common.trimmed(pooled), "doc_id long, quality double, x binary").collect()))  # at most ``rows``
     y = np.array([g[1] for g in got])
     if len(set(y)) < 2:
         return Model(words, shapes, None, float(y.mean()) if len(y) else 0.5)
@@ -226,6 +226,7 @@ def score_column(model: Model, text: Column) -> Column:
         codes = Codes()
         for texts in batches:
             yield pd.Series(model.score([t if isinstance(t, str) else "" for t in texts], codes), index=texts.index)
+        common.trim()
 
     return F.pandas_udf(f, T.DoubleType())(text)
 

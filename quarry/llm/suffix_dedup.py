@@ -323,14 +323,14 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     buckets = common.partitions(spark)
     splitters = _splitters(docs, buckets, span, gram)
-    suffixes = docs.mapInArrow(_emit(splitters, span, gram), _SUFFIX)
-    found = common.materialise(suffixes.repartitionById(buckets, F.col("bucket")).mapInArrow(_compare, _FOUND), "suffixes", tidy=True)
+    suffixes = docs.mapInArrow(common.trimmed(_emit(splitters, span, gram)), _SUFFIX)
+    found = common.materialise(suffixes.repartitionById(buckets, F.col("bucket")).mapInArrow(common.trimmed(_compare), _FOUND), "suffixes", tidy=True)
     asked = found.where("kind > 0").groupBy("doc_id").agg(F.collect_list(F.struct("first", "shape", "kind", "gram")).alias("asks"))
-    pieces = common.materialise(docs.join(asked, "doc_id").mapInArrow(_fetch(span), "gram long, kind int, doc_id long, first long, shape int, bytes binary"), "pieces", tidy=True)
+    pieces = common.materialise(docs.join(asked, "doc_id").mapInArrow(common.trimmed(_fetch(span)), "gram long, kind int, doc_id long, first long, shape int, bytes binary"), "pieces", tidy=True)
     out = "doc_id long, first long, shape int"
-    few = pieces.where("kind = 1").repartition(buckets, "gram").mapInArrow(_compare_windows(span), out)
-    dealt = pieces.where("kind = 2").mapInArrow(_deal_windows(span), "gram long, key long, doc_id long, start long, again boolean")
-    many = dealt.repartition(buckets, "key").mapInArrow(_compare_dealt, out)
+    few = pieces.where("kind = 1").repartition(buckets, "gram").mapInArrow(common.trimmed(_compare_windows(span)), out)
+    dealt = pieces.where("kind = 2").mapInArrow(common.trimmed(_deal_windows(span)), "gram long, key long, doc_id long, start long, again boolean")
+    many = dealt.repartition(buckets, "key").mapInArrow(common.trimmed(_compare_dealt), out)
     return found.where("kind = 0").select("doc_id", "first", "shape").unionByName(few).unionByName(many)
 
 
@@ -389,7 +389,7 @@ def digest(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = with_repeats(docs.select(F.col("doc_id").cast("long"), "text"), span, gram)
-    return rows.mapInArrow(f, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.mapInArrow(common.trimmed(f), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, column: str = "kept_text") -> DataFrame:

@@ -124,7 +124,7 @@ def _packed(path: str, capacity: int, end_id: int):
 def packed_rows(docs: DataFrame, capacity: int = packing.CAPACITY, path: str | None = None, end_id: int = packing.END_ID) -> DataFrame:
     """Rows of ``ROW``; row_id is unique, ids has capacity * 4 bytes."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    return docs.mapInArrow(_packed(path or packing.vocabulary_path(), capacity, end_id), ROW)
+    return docs.mapInArrow(common.trimmed(_packed(path or packing.vocabulary_path(), capacity, end_id)), ROW)
 
 
 def write(docs: DataFrame, target: str, capacity: int = packing.CAPACITY, path: str | None = None) -> None:
