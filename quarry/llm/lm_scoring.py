@@ -50,8 +50,12 @@ OFFSETS = (*range(-REACH, 0), *range(1, REACH + 1))
 HIDDEN = 16
 ROUNDS = 2
 RATE = 0.05
-BATCH = 1024
-STEP = 4096
+#: A pass takes about STEPS gradient steps, each over at least LEAST_BATCH and at most BATCH tokens.
+STEPS = 256
+LEAST_BATCH = 512
+BATCH = 1 << 13
+#: Tokens that are scored in one product of matrices.
+STEP = 1 << 14
 #: Tokens of a training block, and of the documents that are scored at a time.
 BLOCK = 1 << 22
 SLICE = 1 << 19
@@ -172,8 +176,9 @@ def _step(x: np.ndarray, memory: np.ndarray, gradient: np.ndarray, rate: float,
 
 def train(p: list[np.ndarray], memory: list[np.ndarray], flat: np.ndarray, at: np.ndarray, rate: float = RATE) -> None:
     """One pass of gradient steps over the tokens at ``at``."""
-    for k in range(0, len(at), BATCH):
-        a = at[k : k + BATCH]
+    batch = min(BATCH, max(LEAST_BATCH, len(at) // STEPS))
+    for k in range(0, len(at), batch):
+        a = at[k : k + batch]
         y = flat[a]
         h = _hidden(p, flat, a)
         d = _softmax(h @ p[2] + p[3])
