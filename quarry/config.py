@@ -51,3 +51,28 @@ def sample_id(value: str) -> str:
     if not SAMPLE_ID.fullmatch(value):
         raise ConfigError(f"sample id {value!r}: letters, digits, _ and - only")
     return value
+
+
+def defaults() -> str:
+    """All parameters with their defaults, a line each, as a configuration file."""
+    return "".join(f"{f.name}: {'' if f.default is None else f.default}\n" for f in fields(EngineConfig))
+
+
+def parse(text: str) -> dict:
+    """name: value lines as a map for ``from_map``; # starts a comment, an empty value is None, numbers are read as such."""
+    out: dict = {}
+    for line in text.splitlines():
+        line = line.split("#", 1)[0].strip()
+        if not line:
+            continue
+        name, colon, value = line.partition(":")
+        if not colon:
+            raise ConfigError(f"no value: {line}")
+        value = value.strip()
+        for kind in (int, float, str):
+            try:
+                out[name.strip()] = kind(value) if value else None
+                break
+            except ValueError:
+                continue
+    return out

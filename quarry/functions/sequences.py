@@ -47,3 +47,8 @@ def mutate(seq: Column, rate: Column, seed: int) -> Column:
         return F.when(draw(i, 0) < rate, F.substring(others, at, F.lit(1))).otherwise(c)
 
     return F.array_join(F.transform(letters, step), "")
+
+
+def bed(pieces: DataFrame, contig: str = "id") -> DataFrame:
+    """(chrom, chromStart, chromEnd, name) of the pieces of cut_up."""
+    return pieces.select(F.col(contig).cast("string").alias("chrom"), F.col("start").alias("chromStart"), F.col("end").alias("chromEnd"), F.concat_ws(".", F.col(contig).cast("string"), F.col("piece")).alias("name"))

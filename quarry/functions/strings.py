@@ -70,3 +70,19 @@ def sample_of_column(name: str) -> str | None:
 
     found = re.search(r"/(.+)_R[12]_", name)
     return found[1] if found else None
+
+
+def scrubbed(value: Column) -> Column:
+    """Tabs and line ends as single blanks, so that the value fits a cell of a delimited text."""
+    return F.regexp_replace(value, r"[\t\r\n]+", " ")
+
+
+def run_stamp(at: Column | None = None) -> Column:
+    """yyyymmdd_hhmmss of a time, now if none is given."""
+    return F.date_format(F.current_timestamp() if at is None else at, "yyyyMMdd_HHmmss")
+
+
+def elapsed(seconds: Column) -> Column:
+    """Whole seconds as 1h 2m 3s."""
+    s = F.floor(seconds).cast("long")
+    return F.format_string("%dh %dm %ds", F.floor(s / 3600), F.floor(F.pmod(s, F.lit(3600)) / 60), F.pmod(s, F.lit(60)))

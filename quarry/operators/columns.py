@@ -56,3 +56,8 @@ def with_origin(df: DataFrame, source: str, sample: str | None = None) -> DataFr
 
 def first_column(df: DataFrame) -> DataFrame:
     return df.select(df.columns[0])
+
+
+def without_artefacts(df: DataFrame) -> DataFrame:
+    """df without the row numbers that an earlier export left as a column."""
+    return df.drop(*[c for c in df.columns if c in ("Unnamed: 0", "_c0", "")])

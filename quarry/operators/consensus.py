@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.ordering import keep_first
+from quarry.storage import materialise
 
 MAX_CONTAMINATION = 10
 #: Warnings that exclude a sequence.
@@ -59,8 +60,22 @@ def uncontaminated(df: DataFrame, label: str, plain: str, contamination: str, mo
 
 
 def exact_quantile(df: DataFrame, value: str, share: float, out: str = "cut") -> DataFrame:
-    """One row: the quantile with linear interpolation, nulls left out."""
-    return df.agg(F.percentile(value, share).alias(out))
+    """One row: the quantile with linear interpolation, nulls left out; null for no values.
+
+    Values are counted and range-partitioned; ranks are running counts inside a partition, behind what earlier
+    partitions hold.  No task sees all values.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    rows = materialise(counts.repartitionByRange("_v").withColumn("_p", F.spark_partition_id()), "values")
+    parts = rows.groupBy("_p").agg(F.sum("_n").alias("_m"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("_p").alias("_q"), F.coalesce(F.sum("_m").over(earlier), F.lit(0)).alias("_b"), F.sum("_m").over(Window.partitionBy(F.lit(0))).alias("_all"))  # a row for each partition
+    upto = F.sum("_n").over(Window.partitionBy("_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = rows.withColumn("_u", upto).join(F.broadcast(parts), F.col("_p") == F.col("_q")).withColumn("_u", F.col("_u") + F.col("_b"))
+    at = (F.col("_all") - 1) * F.lit(float(share))
+    value_at = lambda place: F.min(F.when(F.col("_u") > place, F.col("_v")))  # noqa: E731  ranks from 0
+    low = placed.agg(value_at(F.floor(at)).alias("_l"), value_at(F.ceil(at)).alias("_h"), F.max(at - F.floor(at)).alias("_f"))
+    return low.select((F.col("_l") * (1 - F.col("_f")) + F.col("_h") * F.col("_f")).alias(out))
 
 
 def rescued(hallmarks: Column, score: Column, enrichment: Column, cut: Column, tiers=RESCUE) -> Column:
@@ -89,3 +104,15 @@ def consensus(df: DataFrame, key: str, order: list[str], columns: dict[str, str]
 def by_label(df: DataFrame, label: str, plain: str = "Virus") -> tuple[DataFrame, DataFrame]:
     """(rows of the plain label, the others)."""
     return df.where(F.col(label) == plain), df.where(F.col(label) != plain)
+
+
+def reported_hits(df: DataFrame, evalue: str, bits: str, most_evalue: float | None = 10.0, least_bits: float | None = None) -> DataFrame:
+    """Hits that are reported: by bit score where that is given, else by E-value; nulls are not."""
+    if least_bits is not None:
+        return df.where(F.col(bits) >= least_bits)
+    return df if most_evalue is None else df.where(F.col(evalue) <= most_evalue)
+
+
+def annotated(df: DataFrame, column: str, none: str = "No hit") -> DataFrame:
+    """Rows that have an annotation: neither null nor what stands for none."""
+    return df.where(F.col(column).isNotNull() & (F.col(column) != none))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,10 @@ def outer_reduce(frames: list[DataFrame], key: str) -> DataFrame:
 
 
 def column_bind(left: DataFrame, right: DataFrame, left_order: list[str | Column], right_order: list[str | Column]) -> DataFrame:
-    """Rows side by side by their position in each order; the shorter table is filled with nulls."""
+    """Rows side by side by their position in each order; the shorter table is filled with nulls, with a warning."""
+    n, m = left.count(), right.count()
+    if n != m:
+        warnings.warn(f"column_bind: {n} and {m} rows")
     a, b = ordinal(left, left_order), ordinal(right, right_order, "_o")
     return a.join(b, F.col("ord") == F.col("_o"), "full").withColumn("ord", F.coalesce("ord", "_o")).drop("_o")
 
@@ -49,3 +53,11 @@ def best_hit(queries: DataFrame, hits: DataFrame, key: str, score: str, ties: li
 def looked_up(df: DataFrame, table: DataFrame, key: str, value: str, default: object) -> DataFrame:
     """A dictionary lookup with a default."""
     return df.join(table.select(key, value), key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
+
+
+def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
+    """(name, rows, equal): how many rows each table has, and whether all have as many."""
+    counted = [f.agg(F.count("*").alias("rows")).select(F.lit(n).alias("name"), "rows") for n, f in frames.items()]
+    every = reduce(lambda a, b: a.unionByName(b), counted)  # a row for each table
+    same = every.agg((F.min("rows") == F.max("rows")).alias("equal"))
+    return every.join(same)

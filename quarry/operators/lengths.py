@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Length thresholds of the size distribution.
@@ -18,19 +18,30 @@ def length_stats(df: DataFrame, group: str, length: str, tie: str) -> DataFrame:
     """
     counted = df.groupBy(group, length).agg(F.count("*").alias("n"))
     w = Window.partitionBy(group).orderBy(length)
-    run = counted.withColumn("upto", F.sum(F.col(length) * F.col("n")).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum(F.col(length) * F.col("n")).over(Window.partitionBy(group)))
+    upwards, every = w.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(group)
+    run = counted.withColumns({"upto": F.sum(F.col(length) * F.col("n")).over(upwards), "total": F.sum(F.col(length) * F.col("n")).over(every), "place": F.sum("n").over(upwards), "rows": F.sum("n").over(every)})
     before = F.col("upto") - F.col(length) * F.col("n")
     # how many of the rows of this length still lie below the share of the total: the next one reaches it
     reach = lambda share: F.greatest(F.ceil((share * F.col("total") - before) / F.greatest(F.col(length), F.lit(1))), F.lit(1))
     run = run.withColumn("at50", F.when(F.col("upto") >= 0.5 * F.col("total"), F.struct(F.col(length).alias("l"), reach(0.5).alias("k"))))
     run = run.withColumn("at10", F.when(F.col("upto") >= 0.1 * F.col("total"), F.struct(F.col(length).alias("l"), reach(0.1).alias("k"), F.col("n").alias("n"), F.lead(length).over(w).alias("next"))))
-    n = run.groupBy(group).agg(F.min("at50").alias("a"), F.min("at10").alias("b"))
+    middle = lambda place: F.min(F.when(F.col("place") >= place, F.col(length)))
+    known = F.col(length).isNotNull()
+    known_rows = F.sum(F.when(known, F.col("n")))
+    out = run.withColumn("place", F.when(known, F.col("place") - F.coalesce(F.sum(F.when(~known, F.col("n"))).over(every), F.lit(0)))).withColumn("known", F.sum(F.when(known, F.col("n"))).over(every)).groupBy(group).agg(
+        F.sum("n").alias("contigs"),
+        F.sum(F.col(length) * F.col("n")).alias("total_size_bp"),
+        F.min(length).alias("min_length"),
+        F.max(length).alias("max_length"),
+        (F.sum(F.col(length) * F.col("n")) / known_rows).alias("avg_length"),
+        ((middle(F.floor((F.col("known") + 1) / 2)) + middle(F.floor(F.col("known") / 2) + 1)) / 2.0).alias("median_length"),
+        F.min("at50").alias("a"),
+        F.min("at10").alias("b"),
+    )
     # the row that sets N50 can't set N90: then the next row does, of this length or of the next
     same = (F.col("a.l") == F.col("b.l")) & (F.col("a.k") == F.col("b.k"))
     following = F.when(F.col("b.k") < F.col("b.n"), F.col("b.l")).otherwise(F.coalesce("b.next", F.lit(0)))
-    n = n.select(F.col(group).alias("_g"), F.coalesce("a.l", F.lit(0)).alias("n50_length"), F.when(same, following).otherwise(F.coalesce("b.l", F.lit(0))).alias("n90_length"))
-    base = df.groupBy(group).agg(F.count("*").alias("contigs"), F.sum(length).alias("total_size_bp"), F.min(length).alias("min_length"), F.max(length).alias("max_length"), F.avg(length).alias("avg_length"), F.median(length).alias("median_length"))
-    return base.join(n, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
+    return out.withColumns({"n50_length": F.coalesce("a.l", F.lit(0)), "n90_length": F.when(same, following).otherwise(F.coalesce("b.l", F.lit(0)))}).drop("a", "b")
 
 
 def size_distribution(df: DataFrame, group: str, length: str, thresholds: list[int] = THRESHOLDS) -> DataFrame:
@@ -48,3 +59,11 @@ def size_distribution(df: DataFrame, group: str, length: str, thresholds: list[i
     add = lambda f: F.aggregate(part, F.lit(0).cast("bigint"), lambda a, e: a + e[f])
     rows = rows.select(group, F.col("min_length"), add("n").alias("num_contigs"), add("s").alias("total_length")).where("num_contigs > 0")
     return rows.join(totals, F.col(group).eqNullSafe(F.col("_g"))).select(group, "min_length", "num_contigs", "total_length", (100.0 * F.col("total_length") / F.col("t")).alias("percent"))
+
+
+def size_tier(size: Column, tiers: list[tuple[int, int]], above: int) -> Column:
+    """The value of the first tier whose limit size does not pass; ``above`` beyond all of them, null for null."""
+    out = F.when(size.isNull(), F.lit(None).cast("int"))
+    for limit, value in tiers:
+        out = out.when(size <= limit, F.lit(value))
+    return out.otherwise(F.lit(above))

@@ -28,9 +28,10 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> Dat
 
 
 def top_k(df: DataFrame, keys: list[str], order: list[str | Column], k: int, out: str = "rank") -> DataFrame:
-    """The first k rows of each key, numbered."""
+    """The first k rows of each key, numbered; k = 0: all."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
+    rows = df.withColumn(out, F.row_number().over(w))
+    return rows.where(F.col(out) <= k) if k else rows
 
 
 def with_runs(df: DataFrame, group: list[str], order: list[str | Column], value: str, out: str = "run") -> DataFrame:
@@ -64,3 +65,18 @@ def counter(df: DataFrame, group: list[str], order: list[str | Column], starts:
 
 def seeded_shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
+
+
+def head(df: DataFrame, order: list[str | Column], n: int) -> DataFrame:
+    """The first n rows in the given order."""
+    return df.orderBy(*order).limit(n)
+
+
+def batches(df: DataFrame, order: list[str | Column], size: int = 500, out: str = "batch") -> DataFrame:
+    """Rows in batches of ``size`` in the given order, numbered from 0."""
+    return ordinal(df, order, "_ord").withColumn(out, F.floor((F.col("_ord") - 1) / size)).drop("_ord")
+
+
+def renumbered(df: DataFrame, chunk: str, order: list[str | Column], starts: Column, per_chunk: int, out: str) -> DataFrame:
+    """Numbers over chunks that were numbered apart: a counter inside each chunk (from 0), behind chunk * per_chunk."""
+    return counter(df, [chunk], order, starts, out).withColumn(out, F.col(chunk) * per_chunk + F.col(out))

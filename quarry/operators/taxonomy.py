@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranks of a lineage, and those that are voted on.
 RANKS = ("virus", "realm", "kingdom", "phylum", "class", "order", "family")
 VOTE_RANKS = ("genus", "subfamily", "family", "order", "class")
 
@@ -35,7 +36,8 @@ def of_rank_by_text(df: DataFrame, clade: str, has: str, lacks: str | None) -> D
 def lineages(tree: DataFrame, ranks: tuple[str, ...] = VOTE_RANKS, most: int = 64) -> DataFrame:
     """(taxid, name, one column for each rank): the taxon's own and its ancestors' names.
 
-    tree: taxid, name, rank, parent.  Walks up level by level, until no walk goes on (at most ``most`` levels).
+    tree: taxid, name, rank, parent.  Walks up level by level, until no walk goes on; walks that go on after ``most``
+    levels are an error, as in a tree with a cycle.
     """
     up = tree.select(F.col("taxid").alias("_t"), F.col("name").alias("_n"), F.col("rank").alias("_r"), F.col("parent").alias("_p"))
     walk = tree.select("taxid", F.col("taxid").alias("at"))
@@ -46,6 +48,8 @@ def lineages(tree: DataFrame, ranks: tuple[str, ...] = VOTE_RANKS, most: int = 6
         walk = step.where("at is not null").select("taxid", "at")
         if walk.limit(1).count() == 0:
             break
+    else:
+        raise ValueError(f"lineages of more than {most} levels, or a cycle")
     every = reduce(lambda a, b: a.unionByName(b), found)
     named = every.groupBy("taxid").pivot("_r", list(ranks)).agg(F.min("_n"))
     return tree.select("taxid", "name", "rank").join(named, "taxid", "left")

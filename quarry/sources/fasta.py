@@ -43,5 +43,16 @@ def write(seqs: DataFrame, path: str, header: str = "id", order: str | None = No
     records(out, header).write.text(path)
 
 
+#: The first bytes of compressed files.
+MAGIC = {"gzip": "1F8B", "bzip2": "425A68", "xz": "FD377A585A00"}
+
+
+def compression(spark: SparkSession, path: str) -> DataFrame:
+    """(file, kind): how files are compressed, by their first bytes; null for plain ones.  Spark reads gzip and bzip2."""
+    start = F.hex(F.substring("content", 1, 6))
+    kind = F.coalesce(*[F.when(start.startswith(m), F.lit(k)) for k, m in MAGIC.items()])
+    return spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), kind.alias("kind"))
+
+
 def count(spark: SparkSession, path: str) -> int:
     return spark.read.text(path).where(F.col("value").startswith(">")).count()

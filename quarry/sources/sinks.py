@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import sys
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +49,24 @@ def write_json_if_changed(df: DataFrame, path: str, order: list[str]) -> bool:
 def union_of_logs(spark, folder: str) -> DataFrame:
     """Rows of all tab-separated logs of a folder, with the file's name."""
     return spark.read.option("header", True).option("sep", "\t").csv(folder).withColumn("source_file", F.col("_metadata.file_name"))
+
+
+def write_sorted(df: DataFrame, path: str, key: list[str], sep: str | None = None) -> None:
+    """A delimited table whose rows are sorted by key over all files."""
+    write_table(df.orderBy(*key), path, sep)
+
+
+def print_table(df: DataFrame, sep: str = ",", to=None) -> None:
+    """Delimited text with a header on a stream (standard output), one partition after the other; quotes only where needed."""
+    out = csv.writer(to or sys.stdout, delimiter=sep, lineterminator="\n", quoting=csv.QUOTE_MINIMAL)
+    out.writerow(df.columns)
+    for row in df.toLocalIterator():
+        out.writerow(["" if v is None else v for v in row])
+
+
+def hit_lines(hits: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
+    """One text column: a header line that starts with #, then the hits, blank-separated, nulls as -."""
+    first = hits.sparkSession.createDataFrame([("# " + " ".join(columns),)], "value string").withColumn("_o", F.lit(0))
+    cells = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns])
+    rows = hits.orderBy(*order).select(cells.alias("value")).withColumn("_o", F.lit(1))
+    return first.unionByName(rows).select("value")

@@ -115,6 +115,31 @@ def co_assemblies(df: DataFrame) -> DataFrame:
     return df.groupBy("assembly").agg(rows.alias("x")).select("assembly", *[F.col(f"x.{c}").alias(c) for c in ("sample_id", "accession", "R1", "R2")])
 
 
+def expanded(assemblies: DataFrame) -> DataFrame:
+    """A row per sample again, with its assembly, from what co_assemblies gathered."""
+    columns = ("sample_id", "accession", "R1", "R2")
+    return assemblies.select("assembly", F.explode(F.arrays_zip(*columns)).alias("s")).select("assembly", *[F.col(f"s.{c}").alias(c) for c in columns])
+
+
+def repeated_rows(df: DataFrame) -> DataFrame:
+    """Rows that occur more than once, each once, with how often; nulls are equal."""
+    return df.groupBy(*df.columns).agg(F.count("*").alias("times")).where("times > 1")
+
+
+def total_gigabytes(runs: DataFrame) -> DataFrame:
+    """One row: the sum of the sizes as they are given, rounded for each file."""
+    return runs.agg(F.round(F.sum("gigabytes"), 2).alias("gigabytes"))
+
+
+def read_factors(spark: SparkSession, path: str) -> DataFrame:
+    """(taxon, avg_cds, std_cds, factor): the first, fourth last, third last and last field of each line, whatever is between."""
+    f = F.split("value", ",")
+    field = lambda i: F.element_at(f, i)
+    rows = spark.read.text(path).where(F.size(f) >= 5)
+    number = lambda i: F.try_to_number(F.trim(field(i)), F.lit("999999999.999999999")).cast("double")
+    return rows.select(F.trim(field(1)).alias("taxon"), number(-4).alias("avg_cds"), number(-3).alias("std_cds"), number(-1).alias("factor"))
+
+
 def with_file(df: DataFrame, column: Column | None = None) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_name") if column is None else column)
 
