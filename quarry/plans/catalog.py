@@ -116,10 +116,11 @@ def gene_headers(spark, d):
     )
 
 
-@query("SELECT source AS sample_id, doc_id || '_' || source AS key, n_chars FROM documents WHERE source IN ('src0', 'src1', 'src2')")
+@query("SELECT source AS sample_id, doc_id || '_' || source AS key, n_chars FROM documents UNION ALL SELECT 'pages', page_id || '_pages', NULL FROM pages")
 def suffix_key_union(spark, d):
-    docs = _Tables(spark, d).documents.select("doc_id", "n_chars", "source")
-    parts = [docs.where(F.col("source") == s).drop("source").withColumn("sample_id", F.lit(s)) for s in ("src0", "src1", "src2")]
+    """Keys of all sources' documents and of the pages, which have no n_chars."""
+    t = _Tables(spark, d)
+    parts = [t.documents.select("doc_id", "n_chars", F.col("source").alias("sample_id")), t.pages.select(F.col("page_id").alias("doc_id"), F.lit("pages").alias("sample_id"))]
     return columns.suffixed_key(sets.loose_union(parts), "doc_id", "sample_id", "key").select("sample_id", "key", "n_chars")
 
 
@@ -196,12 +197,14 @@ def sequence_admission(spark, d):
 
 
 @query("""
-WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_suppkey, l_quantity) AS i FROM lineitem WHERE l_quantity > 45)
-SELECT p_partkey, coalesce(CAST(l_orderkey AS VARCHAR), 'No hit') AS best_hit, coalesce(l_extendedprice, 0) AS score FROM part LEFT JOIN (SELECT * FROM r WHERE i = 1) ON p_partkey = l_partkey""")
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_suppkey, l_quantity) AS i FROM lineitem),
+k AS (SELECT p_partkey FROM part UNION ALL SELECT -s_suppkey FROM supplier)
+SELECT p_partkey, coalesce(CAST(l_orderkey AS VARCHAR), 'No hit') AS best_hit, coalesce(l_extendedprice, 0) AS score FROM k LEFT JOIN (SELECT * FROM r WHERE i = 1) ON p_partkey = l_partkey""")
 def best_hit(spark, d):
     t = _Tables(spark, d)
-    hits = t.lineitem.where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"), F.col("l_extendedprice").alias("score"), "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", F.col("l_orderkey").cast("string").alias("best_hit"))
-    return joins.best_hit(t.part.select("p_partkey"), hits, "p_partkey", "score", ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"], ["best_hit", "score"], {"best_hit": "No hit", "score": 0.0})
+    hits = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), F.col("l_extendedprice").alias("score"), "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", F.col("l_orderkey").cast("string").alias("best_hit"))
+    asked = t.part.select("p_partkey").union(t.supplier.select(-F.col("s_suppkey")))  # parts, and keys that no line has
+    return joins.best_hit(asked, hits, "p_partkey", "score", ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"], ["best_hit", "score"], {"best_hit": "No hit", "score": 0.0})
 
 
 @query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS i FROM documents) WHERE i = 1")
@@ -540,15 +543,15 @@ def mock_evaluation(spark, d):
     return clustering.pair_agreement(contigs.select(F.col("sequence_id").alias("id"), "true_cluster"), found)
 
 
-@query("SELECT doc_id AS id, 'd' || doc_id AS description, regexp_replace(text, '\\s', '', 'g') AS seq FROM documents WHERE text NOT LIKE '%>%'")
+@query("SELECT doc_id AS id, 'd' || doc_id AS description, regexp_replace(coalesce(text, ''), '[\\s>]', '', 'g') AS seq FROM documents")
 def fasta_roundtrip(spark, d):
-    """Documents written as FASTA and scanned again."""
+    """Documents, without the mark that starts a record, written as FASTA and scanned again."""
     import uuid
 
     from quarry.sources import fasta
     from quarry.storage import shared_dir
 
-    docs = _Tables(spark, d).documents.where(~F.col("text").contains(">"))
+    docs = _Tables(spark, d).documents.withColumn("text", F.replace(F.coalesce("text", F.lit("")), F.lit(">"), F.lit("")))
     target = f"{shared_dir(spark)}/fasta-{uuid.uuid4().hex}"
     fasta.write(docs.select(F.concat(F.lit("d"), "doc_id").alias("id"), F.col("text").alias("seq")), target)
     back = fasta.scan(spark, target)
@@ -569,5 +572,85 @@ def stream_union(spark, d):
     return spark.read.schema("event_type string, ts timestamp").parquet(f"{base}/table").groupBy("event_type", F.date_trunc("day", "ts").alias("day")).agg(F.count("*").alias("events"))
 
 
+@query("SELECT doc_id, CASE WHEN n_chars <= 500 THEN 1 WHEN n_chars <= 2000 THEN 2 WHEN n_chars <= 8000 THEN 4 ELSE 8 END AS tier FROM documents")
+def size_tiers(spark, d):
+    return _Tables(spark, d).documents.select("doc_id", lengths.size_tier(F.col("n_chars"), [(500, 1), (2000, 2), (8000, 4)], 8).alias("tier"))
+
+
+@query("SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 500 AS BIGINT) AS batch FROM orders")
+def row_batches(spark, d):
+    return ordering.batches(_Tables(spark, d).orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"]).select("o_orderkey", "batch")
+
+
+@query("SELECT l_returnflag, l_linestatus, l_suppkey, count(*) AS times FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def whole_row_duplicates(spark, d):
+    return tables.repeated_rows(_Tables(spark, d).lineitem.select("l_returnflag", "l_linestatus", "l_suppkey"))
+
+
+@query("""
+WITH c AS (SELECT 'part' AS name, count(*) AS rows FROM part UNION ALL SELECT 'partkeys', count(DISTINCT l_partkey) FROM lineitem UNION ALL SELECT 'supplier', count(*) FROM supplier)
+SELECT name, rows, (SELECT min(rows) = max(rows) FROM c) AS equal FROM c""")
+def table_counts(spark, d):
+    t = _Tables(spark, d)
+    return joins.row_counts({"part": t.part, "partkeys": t.lineitem.select("l_partkey").distinct(), "supplier": t.supplier})
+
+
+@query("SELECT 'n' || s_nationkey AS assembly, 's' || s_suppkey AS sample_id, s_name AS accession, 's' || s_suppkey || '_1' AS R1, NULL AS R2 FROM supplier")
+def assembly_expansion(spark, d):
+    """Suppliers gathered by nation as co-assemblies are, and a row for each again."""
+    key = F.concat(F.lit("s"), F.col("s_suppkey").cast("string"))
+    rows = _Tables(spark, d).supplier.select(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("assembly"), key.alias("sample_id"), F.col("s_name").alias("accession"), F.concat(key, F.lit("_1")).alias("R1"), F.lit(None).cast("string").alias("R2"))
+    return tables.expanded(tables.co_assemblies(rows))
+
+
+@query("""
+SELECT conv_id % 8 AS chunk, conv_id, turn,
+  CAST((conv_id % 8) * 100000 + sum(CASE WHEN turn = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id % 8 ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS number
+FROM conversations""")
+def renumber_chunks(spark, d):
+    c = _Tables(spark, d).conversations.select(F.pmod("conv_id", F.lit(8)).alias("chunk"), "conv_id", "turn")
+    return ordering.renumbered(c, "chunk", ["conv_id", "turn"], F.col("turn") == 0, 100_000, "number")
+
+
+@query("""
+SELECT CAST(doc_id AS VARCHAR) AS chrom, CAST(k * 1000 AS BIGINT) AS "chromStart", CAST(CASE WHEN k = n - 1 THEN l ELSE (k + 1) * 1000 END AS BIGINT) AS "chromEnd", doc_id || '.' || k AS name
+FROM (SELECT doc_id, l, n, unnest(range(n)) AS k FROM (SELECT doc_id, length(text) AS l, greatest(length(text) // 1000, 1) AS n FROM documents WHERE text IS NOT NULL))""")
+def cut_up_bed(spark, d):
+    pieces = sequences.cut_up(_Tables(spark, d).documents.where("text is not null").select(F.col("doc_id").alias("id"), F.col("text").alias("seq")), size=1000)
+    return sequences.bed(pieces).withColumns({"chromStart": F.col("chromStart").cast("long"), "chromEnd": F.col("chromEnd").cast("long")})
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_discount <= 0.05")
+def report_filter(spark, d):
+    return consensus.reported_hits(_Tables(spark, d).lineitem, "l_discount", "l_quantity", 0.05).select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_type IS NOT NULL AND event_type <> 'view'")
+def annotated_rows(spark, d):
+    return consensus.annotated(_Tables(spark, d).events, "event_type", "view").select("event_id", "event_type")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 2")
+def header_rows(spark, d):
+    return ordering.head(_Tables(spark, d).orders.select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"], 2)
+
+
+@query("SELECT doc_id, (n_chars // 3600) || 'h ' || (n_chars % 3600 // 60) || 'm ' || (n_chars % 60) || 's' AS took, regexp_replace(source || chr(9) || lang, '[\\t\\r\\n]+', ' ', 'g') AS cell FROM documents")
+def cells_and_times(spark, d):
+    docs = _Tables(spark, d).documents
+    return docs.select("doc_id", strings.elapsed(F.col("n_chars")).alias("took"), strings.scrubbed(F.concat("source", F.lit("\t"), "lang")).alias("cell"))
+
+
+@query(f"""
+WITH {_EDGES}, deg AS (SELECT dst FROM pr GROUP BY dst)
+SELECT (SELECT count(*) FROM documents) AS sequences, (SELECT count(*) FROM pr) AS edges, (SELECT count(*) FROM documents) - (SELECT count(*) FROM deg) AS clusters,
+  (SELECT count(*) FROM documents) - (SELECT count(*) FROM deg) AS singletons""")
+def edge_counts(spark, d):
+    """Sequences, edges, and the documents without any edge, each a cluster of its own."""
+    nodes, edges = _edges(_Tables(spark, d))
+    alone = nodes.join(edges.select(F.col("dst").alias("id")), "id", "left_anti").select("id", F.col("id").alias("centroid"))
+    return clustering.cluster_counts(nodes, edges, alone)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembly_stats(spark, sf_dir)
