@@ -12,7 +12,7 @@ sys.path.insert(0, __file__.rsplit("/", 1)[0])
 
 from test_llm_exact import DOCS, brute_components, prose, word_sets  # noqa: E402
 
-from quarry.llm import decontaminate, fingerprints, near_dedup, packing, suffix_dedup, token_output
+from quarry.llm import decontaminate, fingerprints, license_scan, near_dedup, packing, suffix_dedup, token_output
 
 
 @pytest.fixture(scope="module")
@@ -111,3 +111,33 @@ def test_next_document_beside_an_outlier(spark, monkeypatch):
     assert got == {i: f"t{ids[k - 1]}" for k, i in enumerate(ids)}
     number = fingerprints._range_of(F.col("doc_id"), [10, 20, 30, 40, 50, 60, 70])
     assert [r[0] for r in df.where("doc_id in (0, 9, 10, 35, 69, 70, 99)").orderBy("doc_id").select(number).collect()] == [0, 0, 1, 3, 6, 7, 7]
+
+
+def test_statements_with_a_word_put_in_left_out_or_changed(spark):
+    texts, want, own = [], [], {}
+    for g in license_scan._positions():
+        own.setdefault(g[1], set()).update([g[5]] if g[6] else [])
+    for phrase, label in license_scan.MORE:
+        w = phrase.split()
+        middle = len(w) // 2
+        texts.append(" ".join(["intro"] * 9 + w + ["outro"] * 9))
+        texts.append(" ".join(["intro", *w[:middle], "really", *w[middle:], "outro"]))  # a word put in
+        want += [label, label]
+        for other in ([], ["really"]):  # left out, another word: not the one that tells the label
+            t = [*w[: middle - 1], *other, *w[middle:]]
+            if len(w) >= 7 and own[label] & {" ".join(x) for x in zip(t, t[1:])}:
+                texts.append(" ".join(t))
+                want.append(label)
+    none = ["released under z under the z the mit z mit license", "the general public has no license version", "licensed under the table by the public", "license the mit under released", "apache license"]
+    texts += ["Released under the terms of the MIT License", *none]
+    want += ["mit"]
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    for i, label in enumerate(want):
+        assert label in got[i]["labels"].split(","), (texts[i], got[i])
+        assert {x for x in got[i]["labels"].split(",")} <= {label, "cc-by", "gpl", "gnu"}, (texts[i], got[i])
+    assert [got[len(want) + i]["labels"] for i in range(len(none))] == [""] * len(none)
+
+
+def test_license_scan_gives_a_row_for_a_row(rows, frame):
+    got = license_scan.scan(frame).collect()
+    assert Counter((r["doc_id"], r["n_words"]) for r in got) == Counter((d, len((t or "").split())) for d, t in rows)
