@@ -1,10 +1,11 @@
 """Reply-ordered conversations from quoted messages, in DataFrame functions only.
 
 Quotation linking: a line's quote level is the number of > marks it starts with.
-Lines of level 0 are the message's own; each run of lines of one level, and each
-of its lines, is a quoted passage.  Passages are normalised (lower case, single
-spaces) and joined by hash, and then by text, to the own passages (whole text,
-paragraphs, lines) of earlier messages of the conversation.  The earliest message
+Lines of level 0 are the message's own; each run of lines of one level, each of
+its lines and each of its sentences, wherever lines were broken anew, is a quoted
+passage.  Passages are normalised (lower case, single spaces) and joined by hash,
+and then by text, to the own passages (whole text, paragraphs, lines, sentences)
+of earlier messages of the conversation.  The earliest message
 that holds a passage is its origin.  A message replies to the origin of most of
 its least nested quoted words (ties: the latest).
 
@@ -13,6 +14,8 @@ order of turns, so a message follows what it replies to; ``position`` counts tha
 order.  Own texts are given without quotes and without the line that announces
 one.  Messages without a known origin start a thread.  Null texts have no lines;
 messages of equal conv_id and turn share their replies and follow each other.
+Messages of no conv_id or turn reply to none; an empty table gives an empty
+result.  Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from quarry.llm import common
 #: Rows of one key that a window takes.
 CHUNK = 256
 MARKS = r"^((?:[ \t]*>)+)[ \t]?"
+SENTENCE_END = r"[.!?]+(?:\s+|$)"
 ANNOUNCES = r"(?i)^\s*(on\b.*\bwrote|.*\bschrieb|.*\bescribió|.*\ba écrit)\s*:\s*$"
 
 
@@ -64,12 +68,16 @@ def _passages(pieces: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(pieces, _normal), lambda x: x != ""))
 
 
+def _sentences(text: Column) -> Column:
+    return F.split(text, SENTENCE_END)
+
+
 def replies(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, parent_turn) of the messages whose quotes have an origin."""
     rows = parsed(messages.select("conv_id", "turn", "text"))
     own = F.coalesce("own", F.lit(""))
-    held = rows.select("conv_id", "turn", F.explode(_passages(F.concat(F.array(own), F.split(own, r"\n\s*\n"), F.split(own, "\n")))).alias("passage"))
-    run = F.transform("runs", lambda r: F.struct(r.level.alias("level"), _passages(F.concat(F.array(F.array_join(r.lines, "\n")), r.lines)).alias("ps")))
+    held = rows.select("conv_id", "turn", F.explode(_passages(F.concat(F.array(own), F.split(own, r"\n\s*\n"), F.split(own, "\n"), _sentences(own)))).alias("passage"))
+    run = F.transform("runs", lambda r: F.struct(r.level.alias("level"), _passages(F.concat(F.array(F.array_join(r.lines, "\n")), r.lines, _sentences(F.array_join(r.lines, "\n")))).alias("ps")))
     asked = rows.where(F.size("runs") > 0).select("conv_id", "turn", F.explode(run).alias("r"))
     asked = asked.select("conv_id", "turn", F.col("r.level").alias("level"), F.explode("r.ps").alias("passage")).withColumn("h", F.xxhash64("passage"))
     asked = common.materialise(asked, "quotes")
@@ -128,10 +136,13 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
 
 
 def conversation_text(ordered: DataFrame, most: int = 10_000) -> DataFrame:
-    """(conv_id, messages): role and text of each conversation of up to ``most`` messages as one array; longer ones stay rows."""
-    short = ordered.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("conv_id")
-    rows = ordered.join(short, "conv_id", "left_semi")
-    return rows.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "role", "text"))), lambda x: F.struct(x.role.alias("role"), x.text.alias("text"))).alias("messages"))
+    """(conv_id, part, messages, chat): role and text of each conversation in order, and the same as one marked-up text.
+
+    Every ``most`` messages start another part, so that no row holds a conversation of any length.
+    """
+    parts = ordered.groupBy("conv_id", F.floor(F.col("position") / most).alias("part")).agg(F.array_sort(F.collect_list(F.struct("position", "role", "text"))).alias("m"))
+    said = F.transform("m", lambda x: F.concat(F.lit("<|"), F.coalesce(x.role, F.lit("")), F.lit("|>\n"), F.coalesce(x.text, F.lit("")), F.lit("\n")))
+    return parts.select("conv_id", "part", F.transform("m", lambda x: F.struct(x.role.alias("role"), x.text.alias("text"))).alias("messages"), F.array_join(said, "").alias("chat"))
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,12 +163,12 @@ ow AS (
     max(level) > 0 AS quotes, count(DISTINCT CASE WHEN level > 0 THEN run END) AS n_quotes FROM rn GROUP BY id),
 ms AS (SELECT m.*, CASE WHEN quotes THEN own ELSE text END AS own, n_quotes FROM m JOIN ow USING (id)),
 hp AS (
-  SELECT conv_id, turn, trim(regexp_replace(lower(unnest(list_concat([coalesce(own, '')], regexp_split_to_array(coalesce(own, ''), '\n\s*\n'), string_split(coalesce(own, ''), chr(10))))), '\s+', ' ', 'g')) AS passage FROM ms),
+  SELECT conv_id, turn, trim(regexp_replace(lower(unnest(list_concat([coalesce(own, '')], regexp_split_to_array(coalesce(own, ''), '\n\s*\n'), string_split(coalesce(own, ''), chr(10)), regexp_split_to_array(coalesce(own, ''), '[.!?]+(?:\s+|$)')))), '\s+', ' ', 'g')) AS passage FROM ms),
 og AS (SELECT conv_id, passage, min(turn) AS origin FROM hp WHERE passage <> '' GROUP BY conv_id, passage),
 qr AS (SELECT id, conv_id, turn, level, run, list(line ORDER BY i) AS ls FROM rn WHERE level > 0 GROUP BY id, conv_id, turn, level, run),
 qp AS (
   SELECT DISTINCT id, run, conv_id, turn, level, trim(regexp_replace(lower(piece), '\s+', ' ', 'g')) AS passage
-  FROM (SELECT *, unnest(list_concat([array_to_string(ls, chr(10))], ls)) AS piece FROM qr)),
+  FROM (SELECT *, unnest(list_concat([array_to_string(ls, chr(10))], ls, regexp_split_to_array(array_to_string(ls, chr(10)), '[.!?]+(?:\s+|$)'))) AS piece FROM qr)),
 vt AS (
   SELECT conv_id, turn, level, origin, sum(len(string_split(passage, ' '))) AS votes FROM qp JOIN og USING (conv_id, passage) WHERE passage <> '' AND origin < turn GROUP BY conv_id, turn, level, origin),
 pa AS (SELECT conv_id, turn, origin AS parent_turn FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, votes DESC, origin DESC) AS k FROM vt) WHERE k = 1),

@@ -12,7 +12,7 @@ sys.path.insert(0, __file__.rsplit("/", 1)[0])
 
 from test_llm_exact import DOCS, brute_components, prose, word_sets  # noqa: E402
 
-from quarry.llm import decontaminate, fingerprints, license_scan, near_dedup, packing, suffix_dedup, token_output
+from quarry.llm import chat_format, decontaminate, fingerprints, license_scan, near_dedup, packing, suffix_dedup, token_output
 
 
 @pytest.fixture(scope="module")
@@ -141,3 +141,43 @@ def test_statements_with_a_word_put_in_left_out_or_changed(spark):
 def test_license_scan_gives_a_row_for_a_row(rows, frame):
     got = license_scan.scan(frame).collect()
     assert Counter((r["doc_id"], r["n_words"]) for r in got) == Counter((d, len((t or "").split())) for d, t in rows)
+
+
+def test_hundreds_of_quotes_find_their_messages(spark, tmp_path):
+    rng = random.Random(14)
+    rows, want = [], {}
+    for conv in range(25):
+        said: list[list[str]] = []
+        for turn in range(16):
+            sentences = [prose(rng, rng.randrange(6, 14)).capitalize() for _ in range(rng.randrange(2, 5))]
+            quote = []
+            if turn:
+                of = rng.randrange(turn)
+                kind = rng.randrange(3)
+                quoted = " ".join(x + "." for x in (said[of] if kind == 0 else rng.sample(said[of], 1)))  # all of it, or a sentence
+                words = quoted.split()
+                step = len(words) if kind == 1 else 5  # as one line, or broken anew
+                quote = [f"On day {of} somebody wrote:"] + ["> " + " ".join(words[i : i + step]) for i in range(0, len(words), step)]
+                if rng.random() < 0.4:
+                    quote.append(">> something older that nobody wrote")
+                want[conv, turn] = of
+            own = " ".join(x + "." for x in sentences)
+            said.append(sentences)
+            rows.append((conv, turn, "user", "\n".join([*quote, own])))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("passage", F.lit("clash")).repartition(3)
+    ordered = chat_format.reply_ordered(df)
+    got = {(r["conv_id"], r["turn"]): r for r in ordered.collect()}
+    assert len(got) == len(rows)
+    assert {k: r["parent_turn"] for k, r in got.items() if r["parent_turn"] is not None} == want
+    assert not any(line.startswith(">") or "wrote:" in line for r in got.values() for line in r["text"].split("\n"))
+    for conv in range(25):
+        place = {t: got[conv, t]["position"] for t in range(16)}
+        assert sorted(place.values()) == list(range(16)) and all(place[t] > place[want[conv, t]] for t in range(1, 16))
+    duckdb = pytest.importorskip("duckdb")
+    df.select("conv_id", "turn", "role", "text").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    query = chat_format.op9_chat_format(spark, str(tmp_path))
+    assert sorted(map(repr, (tuple(r) for r in query.select(sorted(query.columns)).collect()))) == sorted(map(repr, con.sql(f"SELECT {', '.join(sorted(query.columns))} FROM ({chat_format.OP9_SQL})").fetchall()))
+    parts = chat_format.conversation_text(ordered, 6).collect()
+    assert Counter(len(r["messages"]) for r in parts) == {6: 50, 4: 25} and all(r["chat"].startswith("<|user|>\n") for r in parts)
