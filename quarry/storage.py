@@ -8,8 +8,14 @@ from pyspark.sql import DataFrame
 
 
 def shared_dir(spark) -> str:
-    """spark.checkpoint.dir if the cluster names one; else a folder of this machine, for local sessions."""
-    return (spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/quarry").rstrip("/")
+    """spark.checkpoint.dir, which a cluster must name; else a folder of this machine, for local sessions."""
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not sc.master.partition("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        path = "/tmp/checkpoints/quarry"
+    return path.rstrip("/")
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
