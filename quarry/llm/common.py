@@ -21,7 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = "/tmp/checkpoints/quarry"  # nothing is configured: a single machine, as in tests
+        if not sc.master.partition("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        path = "/tmp/checkpoints/quarry"  # a single machine, as in tests
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")
