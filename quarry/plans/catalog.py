@@ -526,7 +526,26 @@ def greedy_cluster(spark, d):
     return clustering.greedy_centroids(*_edges(_Tables(spark, d)))
 
 
-@query()
+def _layer(k: int, live: str) -> str:
+    """Greedy centroids of one layer of the tournament: nodes l<k>, edges within a part p<k>, heads h<k>, mapping s<k>."""
+    return f"""
+l{k} AS (SELECT id, part, row_number() OVER (ORDER BY n_chars DESC, id) AS place FROM nd {live}),
+p{k} AS (SELECT src, dst, a.place FROM pr JOIN l{k} a ON a.id = src JOIN l{k} b ON b.id = dst WHERE a.part >> {k} = b.part >> {k}),
+n{k} AS (SELECT l.id, l.place, coalesce(list(p.dst) FILTER (p.dst IS NOT NULL), []) AS nb FROM l{k} l LEFT JOIN p{k} p ON l.id = p.src GROUP BY l.id, l.place),
+w{k} AS (
+  SELECT CAST(0 AS BIGINT) AS place, CAST([] AS BIGINT[]) AS covered, CAST([] AS BIGINT[]) AS heads
+  UNION ALL
+  SELECT n.place, CASE WHEN list_contains(w.covered, n.id) THEN w.covered ELSE list_concat(w.covered, n.nb) END, CASE WHEN list_contains(w.covered, n.id) THEN w.heads ELSE list_append(w.heads, n.id) END
+  FROM w{k} w JOIN n{k} n ON n.place = w.place + 1),
+h{k} AS (SELECT unnest(heads) AS id FROM w{k} WHERE place = (SELECT max(place) FROM w{k})),
+o{k} AS (SELECT p.dst AS id, arg_min(p.src, p.place) AS centroid FROM p{k} p JOIN h{k} h ON p.src = h.id GROUP BY p.dst),
+s{k} AS (SELECT l.id, CASE WHEN h.id IS NOT NULL THEN l.id ELSE o.centroid END AS centroid FROM l{k} l LEFT JOIN h{k} h USING (id) LEFT JOIN o{k} o USING (id))"""
+
+
+@query(f"""
+WITH RECURSIVE {_EDGES},
+nd AS (SELECT doc_id AS id, n_chars, CAST(('0x' || substr(md5(doc_id || ':0'), 1, 8)) AS BIGINT) % 4 AS part FROM documents),{_layer(0, "")},{_layer(1, "JOIN h0 USING (id)")},{_layer(2, "JOIN h1 USING (id)")}
+SELECT s0.id, s2.centroid FROM s0 JOIN s1 ON s0.centroid = s1.id JOIN s2 ON s1.centroid = s2.id""")
 def tournament_cluster(spark, d):
     nodes, edges = _edges(_Tables(spark, d))
     return clustering.tournament(nodes, edges, 3)
