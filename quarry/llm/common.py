@@ -45,6 +45,15 @@ def materialise(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that materialise wrote and nothing reads any more."""
+    sc = df.sparkSession.sparkContext
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/quarry-" in folder:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
