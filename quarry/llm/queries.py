@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat_format, decontaminate, fingerprints, license_scan, lm_scoring, near_dedup, packing, quality, quality_rules, suffix_dedup, token_output, vector_codes
+from quarry.llm import chat_format, collocations, decontaminate, fingerprints, license_scan, lm_scoring, near_dedup, packing, quality, quality_rules, suffix_dedup, token_output, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op11_collocations": collocations.op11_collocations,
     "op12_vector_codes": vector_codes.op12_vector_codes,
     "op13_quality_rules": quality_rules.op13_quality_rules,
 }
@@ -27,5 +28,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_license_scan": license_scan.OP8_SQL,
     "op9_chat_format": chat_format.OP9_SQL,
+    "op11_collocations": collocations.OP11_SQL,
     "op12_vector_codes": vector_codes.OP12_SQL,
 }
