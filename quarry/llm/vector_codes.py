@@ -205,7 +205,8 @@ def compressed(rows: DataFrame) -> DataFrame:
     size = len(first[0][0])
     width, per_block = -(-size // PARTS), max(1, min(BLOCK, BLOCK_BYTES // max(1, 8 * size)))
     rows = rows.where(F.size("embedding") == size)
-    start = whole(np.array([r[0] for r in _first(rows, ENTRIES)], np.float64).reshape(-1, size))
+    first = _first(rows, ENTRIES)
+    start = whole(np.array([r[0] for r in first], np.float64).reshape(len(first), size))
     books = Codebooks(np.ascontiguousarray(start.transpose(1, 0, 2)))
     k = books.entries.shape[1]
     schema = T.StructType([T.StructField("ids", T.ArrayType(ids)), T.StructField("labels", T.ArrayType(labels)), T.StructField("data", T.BinaryType()), T.StructField("state", T.BinaryType()), T.StructField("delta", T.BinaryType())])
