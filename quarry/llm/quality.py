@@ -8,9 +8,13 @@ its shapes' vectors, with its length and its shares of distinct words and lines.
 A two-layer network written in numpy scores it; a temperature fitted on held-back
 training rows calibrates the probabilities.
 
-Training rows are bounded: at most ``TRAIN_ROWS`` labelled documents, chosen by a
-hash of doc_id.  Scoring covers every whole text, empty ones too (null: empty).
-Without labels of both kinds every score is the share of label 1 (0.5: none).
+Training rows are bounded: at most ``TRAIN_ROWS`` labelled ids, chosen by a hash of
+doc_id, and one text for each (the least, where rows share an id).  Scoring covers
+every whole text, empty ones too (null: empty).  Without labels of both kinds every
+score is the share of label 1 (0.5: none).  Rows that share a doc_id, or have none, are
+scored each on its own; equal texts get equal scores; a score equal to the threshold is
+label 1; of several labels of an id the largest counts.  Empty tables give no rows, and
+other columns are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -189,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, tasks: int =
     """A model of labels.quality, from at most ``rows`` labelled documents outside the held-out fold."""
     known = labels.where(F.col("quality").isNotNull() & (_fold(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumnRenamed("doc_id", "_d")
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).select("doc_id", "text", F.col("quality").cast("double").alias("quality"))
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).groupBy(F.col("_d").alias("doc_id")).agg(F.min("text").alias("text"), F.first("quality").cast("double").alias("quality"))
     sample = common.materialise(sample.repartition(tasks, "doc_id"), "labelled")
     index, shapes = index_vectors(WORDS, DIM, SEED), index_vectors(SHAPES, SHAPE_DIM, SEED + 1)
 

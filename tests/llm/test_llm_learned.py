@@ -39,6 +39,15 @@ def test_quality_on_the_held_out_fold(spark, labelled):
     assert {r["doc_id"]: r["score"] for r in got} == {r["doc_id"]: r["score"] for r in again}
 
 
+def test_quality_fits_one_row_for_each_label(spark, labelled, monkeypatch):
+    docs = labelled.select("doc_id", "text").unionByName(spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("copy "), F.col("id").cast("string")).alias("text")))
+    seen = []
+    monkeypatch.setattr(quality, "Network", lambda x, y: seen.append(x.shape[0]))
+    quality.fit(docs, labelled.select("doc_id", "quality"))
+    quality.fit(docs, labelled.select("doc_id", "quality"), rows=40)
+    assert 200 < seen[0] < 280 and seen[1] == 40
+
+
 def test_quality_without_labels(spark, labelled):
     none = labelled.select("doc_id", "quality").limit(0)
     assert {r["score"] for r in quality.quality_scores(labelled.limit(3), none).collect()} == {0.5}
