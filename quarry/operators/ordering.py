@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.scan import Ordered, Running
 from quarry.storage import materialise
 
 
@@ -34,33 +35,31 @@ def top_k(df: DataFrame, keys: list[str], order: list[str | Column], k: int, out
     return rows.where(F.col(out) <= k) if k else rows
 
 
-def with_runs(df: DataFrame, group: list[str], order: list[str | Column], value: str, out: str = "run") -> DataFrame:
+def with_runs(df: DataFrame, group: list[str], order: list[str | Column], value: str, out: str = "run", limit: int | None = None) -> DataFrame:
     """Number of the run of equal adjacent values, from 1 in each group; nulls are equal."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    start = F.when(F.row_number().over(w) == 1, 1).otherwise((~F.col(value).eqNullSafe(F.lag(value).over(w))).cast("int"))
-    return df.withColumn("_s", start).withColumn(out, F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
+    rows = Ordered(df, group, order, limit).with_columns(_before=Running("lag", value))
+    return rows.with_columns(**{out: Running("sum", _starts("_before", value).cast("long"))}).rows().drop("_before")
 
 
-def adjacent_distinct(df: DataFrame, group: list[str], order: list[str | Column], value: str) -> DataFrame:
+def _starts(neighbour: str, value: str) -> Column:
+    """The neighbour is another value, or there is none."""
+    return F.col(neighbour).isNull() | ~F.col(neighbour)["x"].eqNullSafe(F.col(value))
+
+
+def adjacent_distinct(df: DataFrame, group: list[str], order: list[str | Column], value: str, limit: int | None = None) -> DataFrame:
     """The first row of each run."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    same = F.col(value).eqNullSafe(F.lag(value).over(w)) & (F.row_number().over(w) > 1)
-    return df.withColumn("_k", ~same).where("_k").drop("_k")
+    return Ordered(df, group, order, limit).with_columns(_before=Running("lag", value)).where(_starts("_before", value)).rows().drop("_before")
 
 
-def adjacent_single(df: DataFrame, group: list[str], order: list[str | Column], value: str) -> DataFrame:
+def adjacent_single(df: DataFrame, group: list[str], order: list[str | Column], value: str, limit: int | None = None) -> DataFrame:
     """Rows whose neighbours both have another value."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    alone = F.lit(True)
-    for other in (F.lag(F.struct(value)).over(w), F.lead(F.struct(value)).over(w)):
-        alone = alone & (other.isNull() | ~other[value].eqNullSafe(F.col(value)))
-    return df.withColumn("_k", alone).where("_k").drop("_k")
+    rows = Ordered(df, group, order, limit).with_columns(_before=Running("lag", value), _after=Running("lead", value))
+    return rows.where(_starts("_before", value) & _starts("_after", value)).rows().drop("_before", "_after")
 
 
-def counter(df: DataFrame, group: list[str], order: list[str | Column], starts: Column, out: str) -> DataFrame:
+def counter(df: DataFrame, group: list[str], order: list[str | Column], starts: Column, out: str, limit: int | None = None) -> DataFrame:
     """A number that grows by one at each row for which starts holds."""
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(F.when(starts, 1).otherwise(0)).over(w))
+    return Ordered(df, group, order, limit).with_columns(**{out: Running("sum", F.when(starts, 1).otherwise(0))}).rows()
 
 
 def seeded_shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -77,6 +76,6 @@ def batches(df: DataFrame, order: list[str | Column], size: int = 500, out: str
     return ordinal(df, order, "_ord").withColumn(out, F.floor((F.col("_ord") - 1) / size)).drop("_ord")
 
 
-def renumbered(df: DataFrame, chunk: str, order: list[str | Column], starts: Column, per_chunk: int, out: str) -> DataFrame:
+def renumbered(df: DataFrame, chunk: str, order: list[str | Column], starts: Column, per_chunk: int, out: str, limit: int | None = None) -> DataFrame:
     """Numbers over chunks that were numbered apart: a counter inside each chunk (from 0), behind chunk * per_chunk."""
-    return counter(df, [chunk], order, starts, out).withColumn(out, F.col(chunk) * per_chunk + F.col(out))
+    return counter(df, [chunk], order, starts, out, limit).withColumn(out, F.col(chunk) * per_chunk + F.col(out))
