@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import sequences, strings
-from quarry.operators import alignment, clustering, columns, consensus, joins, lengths, ordering, profile, sets, synth, taxonomy
+from quarry.operators import alignment, clustering, columns, consensus, joins, lengths, ordering, profile, sets, similarity, synth, taxonomy
 from quarry.sources import tables
+from quarry.storage import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -551,14 +552,46 @@ def tournament_cluster(spark, d):
     return clustering.tournament(nodes, edges, 3)
 
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_DIGITS = "".join(str(i % 4) for i in range(26))
+#: Codes of 2, 4, 8 and 16 letters from each place on, forwards and of the other strand.
+_DOUBLED = ", ".join(
+    f"c{2 * w} AS (SELECT id, n, i, f * {4**w} + lead(f, {w}) OVER o AS f, r + {4**w} * lead(r, {w}) OVER o AS r FROM c{w} WINDOW o AS (PARTITION BY id ORDER BY i))" for w in (1, 2, 4, 8)
+)
+
+
+@query(f"""
+WITH v AS (SELECT doc_id AS id, translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), '{_LETTERS}', '{_DIGITS}') AS s FROM documents),
+c1 AS (SELECT id, n, i, x::BIGINT AS f, 3 - x::BIGINT AS r FROM (SELECT id, length(s) - 15 AS n, unnest(string_split(s, '')) AS x, generate_subscripts(string_split(s, ''), 1) AS i FROM v WHERE length(s) >= 16)),
+{_DOUBLED},
+m AS (SELECT id, n, i, (least(f, r)::HUGEINT * {similarity.MIX} % 4294967296)::BIGINT AS code FROM c16 WHERE i <= n),
+w AS (SELECT DISTINCT id, code FROM (SELECT id, n, i, min(code) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING) AS code FROM m) WHERE i <= greatest(1, n - 15)),
+sk AS (SELECT id, list(code ORDER BY code) AS sketch FROM w GROUP BY id),
+cl AS (SELECT sketch, min(id) AS class_id, count(*) AS members FROM sk GROUP BY sketch),
+t AS MATERIALIZED (SELECT class_id, len(sketch) AS size, unnest(sketch) AS code FROM cl),
+o AS (SELECT a.class_id AS a, b.class_id AS b, count(*) AS shared, any_value(a.size) AS x, any_value(b.size) AS y FROM t a JOIN t b ON a.code = b.code AND a.class_id <> b.class_id GROUP BY ALL),
+l AS (SELECT a, b, shared / (x + y - shared) AS share FROM o WHERE 100 * shared >= 40 * (x + y - shared)),
+k AS (SELECT a AS class_id, count(*) AS links, arg_min(b, (-share, b)) AS nearest, max(share) AS similarity FROM l GROUP BY a),
+e AS (SELECT id, class_id, members FROM sk JOIN cl USING (sketch))
+SELECT doc_id AS id, coalesce(class_id, doc_id) AS class_id, coalesce(members, 1) AS members, coalesce(links, 0) AS links, nearest, round(similarity, 9) AS similarity
+FROM documents LEFT JOIN e ON e.id = doc_id LEFT JOIN k USING (class_id)""")
+def minhash_candidates(spark, d):
+    """Documents read as nucleotides (letters by their place modulo 4): classes of equal sketches and their links."""
+    text = F.translate(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")), _LETTERS, "".join("ACGT"[int(c)] for c in _DIGITS))
+    return similarity.link_counts(*similarity.similar(_Tables(spark, d).documents.select(F.col("doc_id").alias("id"), text.alias("seq"))))
+
+
 @query()
 def mock_evaluation(spark, d):
-    """Shared k-mers, greedy clustering and agreement with the known clusters, on as many synthetic originals as there are documents."""
+    """Similarity classes, greedy clustering of them and agreement with the known clusters, on as many synthetic originals as there are documents."""
     contigs = synth.mock_contigs(spark, _Tables(spark, d).documents.count(), mean_log=6.0, most=2000)
     seqs = contigs.select(F.col("sequence_id").alias("id"), "seq", "length")
-    near = clustering.shared_kmers(seqs, 16, 20)
-    edges = near.select("src", "dst").union(near.select("dst", "src"))
-    found = clustering.greedy_centroids(clustering.ranked(seqs.drop("seq"), [F.desc("length"), "id"]), edges)
+    members, links = similarity.similar(seqs)
+    members = materialise(members, "members")
+    edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    heads = members.where("id = class_id").select("id").join(seqs.select("id", "length"), "id")
+    centroids = clustering.greedy_centroids(clustering.ranked(heads, [F.desc("length"), "id"]), edges.union(edges.select("dst", "src")))
+    found = members.join(centroids.select(F.col("id").alias("class_id"), "centroid"), "class_id").select("id", "centroid")
     return clustering.pair_agreement(contigs.select(F.col("sequence_id").alias("id"), "true_cluster"), found)
 
 
