@@ -610,6 +610,24 @@ def fasta_roundtrip(spark, d):
     return back.select(F.substring("id", 2, 20).cast("long").alias("id"), "description", "seq")
 
 
+@query("""SELECT doc_id AS id, CASE doc_id % 3 WHEN 1 THEN 'gzip' WHEN 2 THEN 'bzip2' END AS kind, length(regexp_replace(coalesce(text, ''), '[\\s>]', '', 'g')) AS length FROM documents""")
+def fasta_by_content(spark, d):
+    """Documents in FASTA files under names that don't tell how they are compressed, told apart by content and scanned."""
+    import uuid
+
+    from quarry.sources import fasta
+    from quarry.storage import moved, shared_dir
+
+    docs = _Tables(spark, d).documents.select(F.col("doc_id").cast("string").alias("id"), F.replace(F.coalesce("text", F.lit("")), F.lit(">"), F.lit("")).alias("seq"))
+    base = f"{shared_dir(spark)}/fasta-{uuid.uuid4().hex}"
+    for i, (codec, ending) in enumerate((("none", ".gz"), ("gzip", ".fa"), ("bzip2", ".txt"))):
+        fasta.records(docs.where(F.col("id").cast("long") % 3 == i)).write.option("compression", codec).text(f"{base}/{codec}")
+        moved(spark, f"{base}/{codec}", f"{base}/all", lambda name: f"{name.split('.')[0]}-{codec}{ending}")
+    kinds = fasta.compression(spark, f"{base}/all").withColumnRenamed("file", "_f")
+    back = fasta.scan(spark, f"{base}/all")
+    return back.join(F.broadcast(kinds), F.col("file") == F.col("_f")).select(F.col("id").cast("long").alias("id"), "kind", "length")  # a row for each file
+
+
 @query("SELECT event_type, date_trunc('day', ts) AS day, count(*) AS events FROM events GROUP BY ALL")
 def stream_union(spark, d):
     """Events read as a stream of files, appended to a table, and counted by day."""

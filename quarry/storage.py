@@ -23,3 +23,15 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{shared_dir(spark)}/quarry-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def moved(spark, folder: str, target: str, name) -> None:
+    """Move the data files of a folder into another one, under name(file name)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, to = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(target)
+    fs = source.getFileSystem(conf)
+    fs.mkdirs(to)
+    for s in fs.listStatus(source):
+        file = s.getPath().getName()
+        if not file.startswith(("_", ".")):
+            fs.rename(s.getPath(), jvm.org.apache.hadoop.fs.Path(f"{target}/{name(file)}"))

@@ -1,6 +1,9 @@
 """Readers and writers, on files made here."""
 
+import bz2
 import datetime
+import gzip
+import lzma
 
 import pandas as pd
 import pytest
@@ -25,6 +28,34 @@ def test_fasta(spark, tmp_path):
     assert rows(fasta.scan(spark, str(tmp_path / "out")).select("id", "seq"), "id", "seq") == [("x", "ACGT"), ("x", "acgt"), ("y", ""), ("z", "TTT")]
 
 
+def test_fasta_by_content(spark, tmp_path):
+    text = "".join(f">r{i} d\nACGT\n\n{'AC' * i}\n" for i in range(50)).encode()
+    packed = {"a.txt": text, "b.gz": text, "c.fa": gzip.compress(text), "d.fa": bz2.compress(text), "e.gz": lzma.compress(text), "f.bz2": gzip.compress(text[:700]) + gzip.compress(text[700:]), "g.fa.gz": gzip.compress(text), "h.fa": b""}
+    for name, raw in packed.items():
+        (tmp_path / name).write_bytes(raw)
+    got = fasta.scan(spark, str(tmp_path))
+    want = [(f"r{i}", f"r{i} d", "ACGT" + "AC" * i) for i in range(50)]
+    for name in list(packed)[:-1]:
+        assert rows(got.where(F.col("file") == name).select("id", "description", "seq"), "ord") == want, name
+    assert got.count() == 7 * 50 == fasta.count(spark, str(tmp_path))
+    assert dict(rows(fasta.compression(spark, str(tmp_path)))) == {"a.txt": None, "b.gz": None, "c.fa": "gzip", "d.fa": "bzip2", "e.gz": "xz", "f.bz2": "gzip", "g.fa.gz": "gzip"}
+    assert rows(fasta.scan(spark, str(tmp_path / "e.gz")).agg(F.sum("length"))) == [(50 * 4 + 2 * sum(range(50)),)]
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "cut.fa").write_bytes(gzip.compress(text)[:-20])
+    with pytest.raises(Exception, match="ends too early"):
+        fasta.scan(spark, str(tmp_path / "z")).count()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        fasta.scan(spark, str(tmp_path / "none"))
+
+
+@pytest.mark.parametrize("step", [1, 7, 1 << 20])
+def test_records_do_not_depend_on_parts(step):
+    text = b">a\nAC\n>b\n>c x\nG\n"
+    for raw in (text, gzip.compress(text), bz2.compress(text) + bz2.compress(b">d\nT"), lzma.compress(text)):
+        got = [r for r in fasta.record_parts(fasta.unpacked(raw, step)) if r.strip()]
+        assert got[:3] == [b"a\nAC", b"b", b"c x\nG" + (b"" if len(got) > 3 else b"\n")] and got[3:] in ([], [b"d\nT"])
+
+
 def test_sniffing(spark, tmp_path):
     for name, text, sep in (("a.txt", "a;b\n1;2\n3;4\n", ";"), ("b.csv", "a\n1\n", ","), ("c.dat", "x\n", "\t")):
         (tmp_path / name).write_text(text)
