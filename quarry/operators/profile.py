@@ -64,3 +64,15 @@ def merged(tables: dict[str, DataFrame], feature: str, value: str) -> DataFrame:
 
     long = reduce(lambda a, b: a.unionByName(b), [t.select(feature, F.lit(s).alias("sample"), value) for s, t in tables.items()])
     return wide(long, feature, "sample", value, list(tables))
+
+
+def column_blocks(long: DataFrame, feature: str, sample: str, value: str, samples: DataFrame, per_block: int = 500) -> DataFrame:
+    """(feature, block, values): an array of ``per_block`` samples' values in each row, 0 where there is none.
+
+    samples: (sample, place) with places from 0.  For more samples than a table should have columns: the plan stays the
+    same for any number of them.
+    """
+    at = samples.select(F.col(sample).alias("_s"), F.col("place").alias("_at"))
+    rows = long.join(at, F.col(sample) == F.col("_s")).groupBy(feature, F.col("_at").alias("_at")).agg(F.sum(value).cast("double").alias("_v"))
+    held = rows.groupBy(feature, F.floor(F.col("_at") / per_block).alias("block")).agg(F.map_from_entries(F.collect_list(F.struct(F.pmod("_at", F.lit(per_block)).cast("int"), "_v"))).alias("_m"))  # at most per_block entries
+    return held.select(feature, "block", F.transform(F.sequence(F.lit(0), F.lit(per_block - 1)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0))).alias("values"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.storage import materialise
+
 #: Ranks of a lineage, and those that are voted on.
 RANKS = ("virus", "realm", "kingdom", "phylum", "class", "order", "family")
 VOTE_RANKS = ("genus", "subfamily", "family", "order", "class")
@@ -33,26 +33,26 @@ def of_rank_by_text(df: DataFrame, clade: str, has: str, lacks: str | None) -> D
     return out if lacks is None else out.where(~F.col(clade).contains(lacks))
 
 
-def lineages(tree: DataFrame, ranks: tuple[str, ...] = VOTE_RANKS, most: int = 64) -> DataFrame:
+def lineages(tree: DataFrame, ranks: tuple[str, ...] = VOTE_RANKS, most: int | None = None) -> DataFrame:
     """(taxid, name, one column for each rank): the taxon's own and its ancestors' names.
 
-    tree: taxid, name, rank, parent.  Walks up level by level, until no walk goes on; walks that go on after ``most``
-    levels are an error, as in a tree with a cycle.
+    tree: taxid, name, rank, parent.  By pointer doubling: a round takes over the names that the taxon has found to which
+    its pointer leads, and that taxon's pointer, so lineages of any depth take as many rounds as their depth has binary
+    digits.  A pointer that still leads on when all of the tree's taxa must have been passed is a cycle, and an error.
+    ``most``: an error for lineages that go on after about so many levels.
     """
-    up = tree.select(F.col("taxid").alias("_t"), F.col("name").alias("_n"), F.col("rank").alias("_r"), F.col("parent").alias("_p"))
-    walk = tree.select("taxid", F.col("taxid").alias("at"))
-    found = []
-    for _ in range(most):
-        step = walk.join(up, F.col("at") == F.col("_t")).select("taxid", "_n", "_r", F.when(F.col("_p") != F.col("at"), F.col("_p")).alias("at"))
-        found.append(step.select("taxid", "_n", "_r"))
-        walk = step.where("at is not null").select("taxid", "at")
-        if walk.limit(1).count() == 0:
-            break
-    else:
-        raise ValueError(f"lineages of more than {most} levels, or a cycle")
-    every = reduce(lambda a, b: a.unionByName(b), found)
-    named = every.groupBy("taxid").pivot("_r", list(ranks)).agg(F.min("_n"))
-    return tree.select("taxid", "name", "rank").join(named, "taxid", "left")
+    found = [F.when(F.col("rank") == r, F.col("name")).alias(f"_f{i}") for i, r in enumerate(ranks)]
+    rows = materialise(tree.select("taxid", F.when(F.col("parent") != F.col("taxid"), F.col("parent")).alias("_up"), *found), "lineages")
+    names = [f"_f{i}" for i in range(len(ranks))]
+    passed, taxa = 1, rows.count()
+    while rows.where("_up is not null").limit(1).count():
+        if passed >= taxa or most is not None and passed >= most:
+            raise ValueError(f"lineages of more than {passed} levels, or a cycle")
+        above = rows.select(F.col("taxid").alias("_t"), F.col("_up").alias("_u"), *[F.col(n).alias(f"{n}u") for n in names])
+        step = rows.join(above, F.col("_up") == F.col("_t"), "left")
+        rows = materialise(step.select("taxid", F.col("_u").alias("_up"), *[F.least(n, f"{n}u").alias(n) for n in names]), "lineages")
+        passed *= 2
+    return tree.select("taxid", "name", "rank").join(rows.select("taxid", *[F.col(n).alias(r) for n, r in zip(names, ranks)]), "taxid", "left")
 
 
 def majority_vote(hits: DataFrame, contig: str, totals: DataFrame, factors: DataFrame, ranks: tuple[str, ...] = VOTE_RANKS[:-1], threshold: float = 0.6) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,8 +65,42 @@ def read_alignments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_named(spark: SparkSession, paths: dict[str, str], columns: T.StructType | None = None, sep: str | None = None, name: str = "sample_id") -> DataFrame:
-    """Tables of several samples, under each other, with the sample's name."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [read(spark, p, columns, sep).withColumn(name, F.lit(s)) for s, p in paths.items()])
+    """Tables of several samples, under each other, with the sample's name; a path is a file or a folder.
+
+    One scan for each separator, or without a schema for each header line, whatever the number of samples: rows find
+    their sample by the file that they are from.
+    """
+    scans = {}
+    for sample, path in paths.items():
+        scans.setdefault(sep or by_name(path, "\t"), {})[sample] = path
+    parts = []
+    for s, some in scans.items():
+        if columns is not None:
+            parts.append(_of_samples(spark, some, lambda files, s=s: read(spark, files, columns, s), name))
+            continue
+        start = F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+        first = spark.read.text(list(some.values())).select(F.col("_metadata.file_path").alias("f"), start.alias("o"), "value").groupBy("f").agg(F.min_by("value", "o").alias("head"))
+        files: dict[str, list[str]] = {}
+        for r in first.collect():  # a header line for each file
+            files.setdefault(r["head"], []).append(unquote(r["f"]))
+        parts += [_of_samples(spark, some, lambda _, f=f, s=s: read(spark, f, None, s), name) for f in files.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _of_samples(spark: SparkSession, paths: dict[str, str], scan, name: str) -> DataFrame:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def whole(path: str) -> str:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(conf).makeQualified(p).toString()
+
+    sheet = F.broadcast(spark.createDataFrame([(whole(p), s) for s, p in paths.items()], "_at string, _sample string"))  # a row for each sample
+    rows = scan(list(paths.values()))
+    columns = rows.columns
+    file = F.url_decode(F.replace(F.regexp_replace(F.col("_metadata.file_path"), "^file:///", "file:/"), F.lit("+"), F.lit("%2B")))
+    rows = rows.select("*", file.alias("_file")).withColumn("_folder", F.regexp_replace("_file", "/[^/]*$", ""))
+    found = rows.join(sheet, (F.col("_file") == F.col("_at")) | (F.col("_folder") == F.col("_at")))
+    return found.select(*columns, F.col("_sample").alias(name))
 
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
@@ -132,12 +167,21 @@ def total_gigabytes(runs: DataFrame) -> DataFrame:
 
 
 def read_factors(spark: SparkSession, path: str) -> DataFrame:
-    """(taxon, avg_cds, std_cds, factor): the first, fourth last, third last and last field of each line, whatever is between."""
-    f = F.split("value", ",")
-    field = lambda i: F.element_at(f, i)
-    rows = spark.read.text(path).where(F.size(f) >= 5)
-    number = lambda i: F.try_to_number(F.trim(field(i)), F.lit("999999999.999999999")).cast("double")
-    return rows.select(F.trim(field(1)).alias("taxon"), number(-4).alias("avg_cds"), number(-3).alias("std_cds"), number(-1).alias("factor"))
+    """(taxon, avg_cds, std_cds, factor): the first, fourth last, third last and last field of each line, whatever is between.
+
+    The first line is a header.  Fields may be quoted; numbers have any form of a float, and others are an error.
+    Lines of fewer than five fields are left out.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.explode(F.slice(F.split("value", "\r?\n"), F.lit(2), F.lit(2**31 - 1))).alias("value"))
+    f = F.transform(F.split("value", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda x: F.replace(F.regexp_replace(F.trim(x), '^"(.*)"$', "$1"), F.lit('""'), F.lit('"')))
+    rows = lines.select(f.alias("f")).where(F.size("f") >= 5)
+    field = lambda i: F.element_at("f", i)
+
+    def number(i: int) -> Column:
+        value = field(i).try_cast("double")
+        return F.when(value.isNull(), F.raise_error(F.concat(F.lit("no number: "), field(i)))).otherwise(value)
+
+    return rows.select(field(1).alias("taxon"), number(-4).alias("avg_cds"), number(-3).alias("std_cds"), number(-1).alias("factor"))
 
 
 def with_file(df: DataFrame, column: Column | None = None) -> DataFrame:

@@ -82,7 +82,7 @@ def test_samples_rows_and_sizes(spark):
 
 
 def test_factors_by_position(spark, tmp_path):
-    (tmp_path / "f.csv").write_text("Aname,x,y,10.5,2,z,0.75\nBname,3,1,q,1.5\nshort,1\n")
+    (tmp_path / "f.csv").write_text("name,avg,std,x,factor\nAname,x,y,10.5,2,z,0.75\nBname,3,1,q,1.5\nshort,1\n")
     got = sorted(map(tuple, tables.read_factors(spark, str(tmp_path / "f.csv")).collect()))
     assert got == [("Aname", 10.5, 2.0, 0.75), ("Bname", 3.0, 1.0, 1.5)]
 
