@@ -35,6 +35,13 @@ class EngineConfig:
         if sum(x is not None for x in (self.fasta, self.fasta_dir, self.sample_sheet)) > 1:
             raise ConfigError("give one of fasta, fasta_dir and sample_sheet")
 
+    def input(self) -> tuple[str, str]:
+        """(name, path) of the input; it is an error if none is given."""
+        given = [(n, getattr(self, n)) for n in ("fasta", "fasta_dir", "sample_sheet") if getattr(self, n) is not None]
+        if not given:
+            raise ConfigError("give one of fasta, fasta_dir and sample_sheet")
+        return given[0]
+
     @classmethod
     def from_map(cls, *layers: dict) -> EngineConfig:
         """Later maps win; None leaves what is set; unknown names are errors."""

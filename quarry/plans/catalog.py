@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import sequences, strings
-from quarry.operators import alignment, clustering, columns, consensus, joins, lengths, ordering, profile, sets, similarity, synth, taxonomy
+from quarry.operators import alignment, clustering, columns, consensus, coverage, joins, lengths, ordering, profile, sets, similarity, synth, taxonomy
 from quarry.sources import tables
 from quarry.storage import materialise
 
@@ -151,8 +151,6 @@ def left_fanout(spark, d):
     return left.join(right, "c_custkey", "left")
 
 
-_KINDS = ("click", "purchase", "view")
-
 
 @query("""
 WITH k AS (SELECT DISTINCT event_type FROM events),
@@ -171,6 +169,16 @@ def outer_reduce_3(spark, d):
     return out.withColumn("second_n", F.when(F.col("second_n") != 1, F.col("second_n")))
 
 
+_BANDS = [(15 * i, 15 * (i + 1)) for i in range(7)]
+
+
+@query("SELECT user_id, " + ", ".join(f"nullif(count(*) FILTER (value >= {a} AND value < {b}), 0) AS band_{i}" for i, (a, b) in enumerate(_BANDS)) + f" FROM events WHERE value >= 0 AND value < {_BANDS[-1][1]} GROUP BY user_id")
+def outer_reduce_7(spark, d):
+    """Seven tables of counts by user, joined on the user."""
+    e = _Tables(spark, d).events
+    return joins.outer_reduce([e.where((F.col("value") >= a) & (F.col("value") < b)).groupBy("user_id").agg(F.count("*").alias(f"band_{i}")) for i, (a, b) in enumerate(_BANDS)], "user_id")
+
+
 @query("SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def semi_list(spark, d):
     t = _Tables(spark, d)
@@ -282,6 +290,34 @@ def pair_ani(spark, d):
     return alignment.pair_identity(rows, _ORDER.split(", "))
 
 
+@query(f"""
+WITH h AS ({_HSP}), c AS (SELECT s_suppkey AS contig, 1020 + s_suppkey % 7 AS length FROM supplier),
+d AS (SELECT l_suppkey AS contig, p, count(*) AS depth FROM (SELECT l_suppkey, unnest(generate_series(greatest(s, 1), e)) AS p FROM h) JOIN c ON contig = l_suppkey WHERE p <= length GROUP BY ALL),
+t AS (SELECT contig, count(*) AS covered, max(depth) AS most, sum(depth) AS s, sum(depth * depth) AS q FROM d GROUP BY contig)
+SELECT contig, length, coalesce(covered, 0) AS covered, coalesce(most, 0) AS most, coalesce(s, 0)::DOUBLE / length AS mean, (coalesce(q, 0)::HUGEINT * length - coalesce(s, 0)::HUGEINT * coalesce(s, 0))::DOUBLE / (length * (length - 1)) AS variance
+FROM c LEFT JOIN t USING (contig)""")
+def depth_summary(spark, d):
+    """Depth of suppliers' line items, which stand for alignments."""
+    t = _Tables(spark, d)
+    contigs = t.supplier.select(F.col("s_suppkey").alias("contig"), (F.lit(1020) + F.col("s_suppkey") % 7).alias("length"))
+    return coverage.depths(_hsps(t).withColumnRenamed("l_suppkey", "contig"), contigs, "s", "e")
+
+
+@query(f"""SELECT s_suppkey AS ask, l_orderkey, l_linenumber, l_partkey, s, e FROM ({_HSP}) JOIN supplier ON s_suppkey = l_suppkey WHERE s <= 100 + s_suppkey % 500 + 20 AND e >= 100 + s_suppkey % 500""")
+def coordinate_lookup(spark, d):
+    """Line items sorted by supplier and place, looked up by a range for each supplier."""
+    import uuid
+
+    from quarry.sources import coordinate
+    from quarry.storage import shared_dir
+
+    t, path = _Tables(spark, d), f"{shared_dir(spark)}/sorted-{uuid.uuid4().hex}"
+    coordinate.write_sorted(_hsps(t).select("l_suppkey", "s", "e", "l_orderkey", "l_linenumber", "l_partkey"), path, "l_suppkey", "s", "e")
+    first = F.lit(100) + F.col("s_suppkey") % 500
+    asked = t.supplier.select(F.col("s_suppkey").alias("ask"), F.col("s_suppkey").alias("contig"), first.alias("first"), (first + 20).alias("last"))
+    return coordinate.lookups(spark, path, asked, ("l_suppkey", "s", "e")).drop("l_suppkey")
+
+
 @query("""
 SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END AS hit_score, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END + CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS provirus_hit_score,
   CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'Provirus (both)' WHEN o_orderstatus = 'F' THEN 'Provirus (A)' WHEN o_orderpriority = '1-URGENT' THEN 'Provirus (B)' ELSE 'Virus' END AS type FROM orders""")
@@ -388,6 +424,13 @@ def lineage_closure(spark, d):
     return taxonomy.lineages(top.unionByName(low))
 
 
+@query("SELECT c_custkey AS taxid, c_name AS name, ['genus', 'subfamily', 'family', 'order', 'class'][c_custkey % 5 + 1] AS rank, " + ", ".join(f"min(CASE WHEN c_custkey % 5 = {i} THEN c_name END) OVER o AS \"{r}\"" for i, r in enumerate(taxonomy.VOTE_RANKS)) + " FROM customer WINDOW o AS (ORDER BY c_custkey DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)")
+def lineage_chain(spark, d):
+    """Customers as one lineage, each below the one of the next smaller key: as deep as the table is long."""
+    c = _Tables(spark, d).customer.select(F.col("c_custkey").alias("taxid"), F.col("c_name").alias("name"), F.element_at(F.array(*map(F.lit, taxonomy.VOTE_RANKS)), (F.col("c_custkey") % 5 + 1).cast("int")).alias("rank"), F.when(F.col("c_custkey") > 0, F.col("c_custkey") - 1).otherwise(F.col("c_custkey")).alias("parent"))
+    return taxonomy.lineages(c)
+
+
 @query("SELECT c_nationkey AS assembly, count(*) AS n, string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY c_custkey) AS members FROM customer GROUP BY c_nationkey")
 def group_collect(spark, d):
     c = _Tables(spark, d).customer
@@ -628,6 +671,46 @@ def fasta_by_content(spark, d):
     return back.join(F.broadcast(kinds), F.col("file") == F.col("_f")).select(F.col("id").cast("long").alias("id"), "kind", "length")  # a row for each file
 
 
+@query("SELECT row_number() OVER (ORDER BY doc_id) AS place, doc_id, length(text) AS length, CASE WHEN length(text) > 0 THEN length(text) - length(replace(text, ' ', '')) END AS blanks FROM documents")
+def chunk_gather(spark, d):
+    """Documents in chunks of about equal bytes, worked on chunk by chunk in pandas, and gathered in their order."""
+    import uuid
+
+    from quarry.operators import chunks
+    from quarry.storage import shared_dir
+
+    docs = _Tables(spark, d).documents.select("doc_id", "text").withColumn("bytes", F.octet_length("text"))
+    parts = max(1, -(-(docs.agg(F.sum("bytes")).first()[0] or 0) // (4 << 20)))  # chunks of about 4 MB
+    gives = tables.schema(number=T.LongType(), doc_id=T.LongType(), length=T.LongType(), blanks=T.LongType())
+
+    def measured(rows):
+        text = rows["text"]
+        return rows[["doc_id"]].assign(number=rows["place"], length=text.str.len(), blanks=text.str.count(" ").where(text.str.len() > 0))
+
+    path = f"{shared_dir(spark)}/chunks-{uuid.uuid4().hex}"
+    chunks.run(chunks.by_size(docs, ["doc_id"], "bytes", parts), measured, gives, path)
+    return chunks.gather(spark, path, gives).select(F.col("number").alias("place"), "doc_id", "length", "blanks")
+
+
+@query()
+def incremental_cluster(spark, d):
+    """Documents that come in three batches (by doc_id), as a stream: each one's centroid and the batch that it came with."""
+    import uuid
+
+    from quarry.operators import incremental
+    from quarry.storage import shared_dir
+    from quarry.streaming import sources
+
+    base = f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}"
+    text = F.translate(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")), _LETTERS, "".join("ACGT"[int(c)] for c in _DIGITS))
+    seqs = _Tables(spark, d).documents.select(F.col("doc_id").alias("id"), text.alias("seq"), F.length("text").cast("long").alias("length"))
+    for i in range(3):
+        seqs.where(F.pmod("id", F.lit(3)) == i).write.mode("append").parquet(f"{base}/in")
+        arriving = sources.arriving(spark, f"{base}/in", seqs.schema)
+        incremental.stream(arriving, f"{base}/clusters", f"{base}/state").awaitTermination()
+    return incremental.result(spark, f"{base}/clusters")
+
+
 @query("SELECT event_type, date_trunc('day', ts) AS day, count(*) AS events FROM events GROUP BY ALL")
 def stream_union(spark, d):
     """Events read as a stream of files, appended to a table, and counted by day."""
