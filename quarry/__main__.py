@@ -80,6 +80,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.command == "mock":
         contigs = synth.mock_contigs(spark, args.contigs, args.seed)
         contigs.drop("seq").write.mode("overwrite").parquet(f"{out}/truth")
+        sinks.write_columns(contigs.withColumn("source_genome", F.col("true_cluster")), f"{out}/ground_truth.tsv", sinks.TRUTH)
         fasta.records(contigs.withColumnRenamed("sequence_id", "id")).write.mode("overwrite").text(f"{out}/fasta")
 
 

@@ -84,6 +84,13 @@ REGISTRY: dict[str, Adapter] = {
         Adapter("binner", _SEQ, tables.BINS, header=False),
         Adapter("taxonomic_profile", ("sample_id", "R1"), tables.schema(clade_name=_S, sample=_S, value=_D)),
         Adapter("functional_profile", ("sample_id", "R1"), tables.schema(feature=_S, sample=_S, value=_D)),
+        Adapter("bin_refinement", ("contig", "bin"), tables.BINS, header=False),
+        Adapter("bin_quality", _SEQ, tables.schema(Name=_S, Completeness=_D, Contamination=_D)),
+        Adapter("dereplication", ("id", "path"), tables.schema(centroid=_S, member=_S), header=False),
+        Adapter("bin_taxonomy", ("id", "path"), tables.schema(user_genome=_S, classification=_S)),
+        Adapter("coordinate_sort", ("contig", "start", "end"), tables.schema(contig=_S, start=_L, end=_L)),
+        Adapter("host_genus", _SEQ, tables.schema(Virus=_S, host_genus=_S, confidence=_D), sep=","),
+        Adapter("assembly_search", ("species", "category"), tables.schema(species=_S, category=_S, assembly_accession=_S, ftp_url=_S, local_file=_S, status=_S, summary_json=_S)),
         Adapter("annotation", ("protein_id", "seq"), tables.schema(query=_S, term=_S, score=_D)),
     )
 }

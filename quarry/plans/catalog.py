@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import sequences, strings
-from quarry.operators import alignment, clustering, columns, consensus, coverage, joins, lengths, ordering, profile, sets, similarity, synth, taxonomy
+from quarry.operators import alignment, clustering, columns, consensus, coverage, joins, lengths, ordering, profile, refinement, sets, similarity, synth, taxonomy
 from quarry.sources import tables
 from quarry.storage import materialise
 
@@ -437,6 +437,14 @@ def group_collect(spark, d):
     return c.groupBy(F.col("c_nationkey").alias("assembly")).agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("c_custkey")), lambda x: x.cast("string")), ",").alias("members"))
 
 
+@query("""SELECT centroid, part, count(*) AS size, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS members
+FROM (SELECT c_nationkey AS centroid, c_custkey AS id, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 20 AS part FROM customer) GROUP BY ALL""")
+def member_parts(spark, d):
+    """Customers of a nation, 20 to a row."""
+    c = _Tables(spark, d).customer.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("centroid"))
+    return clustering.member_parts(c, 20).withColumn("members", F.array_join(F.transform("members", lambda x: x.cast("string")), ","))
+
+
 @query("SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
 def duplicate_check(spark, d):
     return _Tables(spark, d).lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("copies")).where("copies > 1")
@@ -778,6 +786,36 @@ def report_filter(spark, d):
     return consensus.reported_hits(_Tables(spark, d).lineitem, "l_discount", "l_quantity", 0.05).select("l_orderkey", "l_linenumber")
 
 
+@query("""
+WITH RECURSIVE b AS (SELECT DISTINCT l_suppkey AS bin, l_partkey AS contig, p_size::BIGINT AS weight FROM lineitem JOIN part ON p_partkey = l_partkey),
+st AS (
+  SELECT 0 AS step, bin, contig, weight, NULL::BIGINT AS score FROM b
+  UNION ALL
+  SELECT step + 1, r.bin, r.contig, r.weight, CASE WHEN r.bin = k.bin THEN k.score END
+  FROM (SELECT * FROM st WHERE score IS NULL) r, (SELECT bin, sum(weight)::BIGINT AS score FROM st WHERE score IS NULL GROUP BY bin ORDER BY score DESC, bin LIMIT 1) k
+  WHERE k.score > 0 AND (r.bin = k.bin OR r.contig NOT IN (SELECT contig FROM st x, (SELECT bin FROM st WHERE score IS NULL GROUP BY bin ORDER BY sum(weight) DESC, bin LIMIT 1) y WHERE x.score IS NULL AND x.bin = y.bin)))
+SELECT contig, bin, score FROM st WHERE score IS NOT NULL""")
+def bin_refinement(spark, d):
+    """Suppliers as bins of parts, which several of them hold; parts weigh their size."""
+    t = _Tables(spark, d)
+    bins = t.lineitem.select(F.col("l_suppkey").alias("bin"), F.col("l_partkey").alias("contig"))
+    return refinement.refined(bins, t.part.select(F.col("p_partkey").alias("contig"), F.col("p_size").cast("long").alias("weight")))
+
+
+@query("""
+WITH s AS (SELECT user_id, (row_number() OVER (ORDER BY user_id) - 1) AS place FROM (SELECT DISTINCT user_id FROM events)),
+v AS (SELECT event_type AS feature, place // 25 AS block, place % 25 AS k, sum(round(value * 100)::BIGINT)::DOUBLE AS v FROM events JOIN s USING (user_id) GROUP BY ALL),
+m AS (SELECT feature, block, map(list(k), list(v)) AS m FROM v GROUP BY ALL)
+SELECT feature, block, array_to_string(list_transform(generate_series(0, 24), lambda i: coalesce(m[i], 0)::BIGINT), ',') AS cells FROM m""")
+def profile_blocks(spark, d):
+    """Sums by event type and user, 25 users to a row."""
+    e = _Tables(spark, d).events
+    users = ordering.ordinal(e.select(F.col("user_id").alias("sample")).distinct(), ["sample"], "place").withColumn("place", F.col("place") - 1)
+    long = e.select(F.col("event_type").alias("feature"), F.col("user_id").alias("sample"), F.round(F.col("value") * 100).cast("long").alias("value"))
+    wide = profile.column_blocks(long, "feature", "sample", "value", users, 25)
+    return wide.select("feature", "block", F.array_join(F.transform("values", lambda x: x.cast("long").cast("string")), ",").alias("cells"))
+
+
 @query("SELECT event_id, event_type FROM events WHERE event_type IS NOT NULL AND event_type <> 'view'")
 def annotated_rows(spark, d):
     return consensus.annotated(_Tables(spark, d).events, "event_type", "view").select("event_id", "event_type")

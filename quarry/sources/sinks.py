@@ -64,9 +64,43 @@ def print_table(df: DataFrame, sep: str = ",", to=None) -> None:
         out.writerow(["" if v is None else v for v in row])
 
 
-def hit_lines(hits: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
-    """One text column: a header line that starts with #, then the hits, blank-separated, nulls as -."""
-    first = hits.sparkSession.createDataFrame([("# " + " ".join(columns),)], "value string").withColumn("_o", F.lit(0))
+#: Columns of the tables of hits by sequence and by domain, and those that make them three header lines.
+TARGETS = ("target name", "accession", "query name", "accession", "E-value", "score", "bias", "E-value", "score", "bias", "exp", "reg", "clu", "ov", "env", "dom", "rep", "inc", "description of target")
+DOMAINS = ("target name", "accession", "tlen", "query name", "accession", "qlen", "E-value", "score", "bias", "#", "of", "c-Evalue", "i-Evalue", "score", "bias", "from", "to", "from", "to", "from", "to", "acc", "description of target")
+
+
+def hit_lines(hits: DataFrame, columns: list[str], order: list[str], titles: tuple[str, ...] | None = None) -> DataFrame:
+    """One text column: a header line that starts with #, then the hits, blank-separated, nulls as -, sorted.
+
+    titles: what the header says in place of the columns' names.  Parts of a table that is written from this are in order.
+    """
+    if titles is not None and len(titles) != len(columns):
+        raise ValueError(f"{len(columns)} columns under {len(titles)} titles")
+    first = hits.sparkSession.createDataFrame([("# " + " ".join(titles or columns),)], "value string").withColumn("_o", F.lit(0))
     cells = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns])
-    rows = hits.orderBy(*order).select(cells.alias("value")).withColumn("_o", F.lit(1))
-    return first.unionByName(rows).select("value")
+    rows = hits.select(cells.alias("value"), F.lit(1).alias("_o"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)])
+    both = first.unionByName(rows, allowMissingColumns=True)
+    return both.orderBy("_o", *[f"_k{i}" for i in range(len(order))]).select("value")
+
+
+def write_hits(hits: DataFrame, path: str, columns: list[str], order: list[str], domains: bool = False) -> None:
+    """The table of hits by sequence, or by domain; columns: the hits' columns in the order of its titles."""
+    hit_lines(hits, columns, order, DOMAINS if domains else TARGETS).write.text(path)
+
+
+def read_hits(spark, path: str, names: list[str]) -> DataFrame:
+    """Cells of such a table, comment lines left out, - as null; the last name takes the rest of the line."""
+    cells = F.split(F.trim("value"), r"\s+", len(names))
+    rows = spark.read.text(path).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    return rows.select(*[F.nullif(F.get(cells, F.lit(i)), F.lit("-")).alias(n) for i, n in enumerate(names)])
+
+
+#: Columns of the known clusters of synthetic contigs, and of what was downloaded.
+TRUTH = ("sequence_id", "true_cluster", "source_category", "source_genome", "length", "strain_mutated", "mutation_rate", "duplication_copy", "is_synthetic")
+DOWNLOADS = ("species", "category", "assembly_accession", "ftp_url", "local_file", "status", "summary_json")
+
+
+def write_columns(df: DataFrame, path: str, columns: tuple[str, ...]) -> None:
+    """Tab-separated text with exactly these columns; ones that df lacks are NA."""
+    have = set(df.columns)
+    write_table(df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(c) if c in have else F.lit("NA").alias(c) for c in columns]), path, "\t")

@@ -25,6 +25,21 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+class Growing:
+    """A table to which the rounds of an operator add; read as one scan, however many rounds there were."""
+
+    def __init__(self, df: DataFrame, name: str = "table"):
+        self.spark, self.schema = df.sparkSession, df.schema
+        self.path = f"{shared_dir(self.spark)}/quarry-{name}-{uuid.uuid4().hex}"
+        df.limit(0).write.parquet(self.path)
+
+    def add(self, df: DataFrame) -> None:
+        df.write.mode("append").parquet(self.path)
+
+    def table(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def moved(spark, folder: str, target: str, name) -> None:
     """Move the data files of a folder into another one, under name(file name)."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

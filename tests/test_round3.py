@@ -106,3 +106,79 @@ def test_factors_of_any_form(spark, tmp_path):
     f.write_text("name,avg,std,x,factor\nA,1,many,q,0.75\n")
     with pytest.raises(Exception, match="no number: many"):
         tables.read_factors(spark, str(f)).collect()
+
+
+def test_refinement_equals_one_by_one(spark):
+    from quarry.operators import refinement
+
+    rng = random.Random(9)
+    for n, m in ((12, 40), (30, 25)):
+        bins = {f"b{i:02d}": {rng.randint(0, m) for _ in range(rng.randint(1, 12))} for i in range(n)} | {"twin": {1, 2, 3}, "twin2": {1, 2, 3}}
+        weight = {c: rng.choice([0, 1, 2, 5]) for c in range(m)}
+        left, want = {b: {c for c in cs if c in weight} for b, cs in bins.items()}, []
+        while left and (best := min((-sum(weight[c] for c in cs), b) for b, cs in left.items()))[0] < 0:
+            taken = left.pop(best[1])
+            want += [(c, best[1], -best[0]) for c in taken]
+            left = {b: cs - taken for b, cs in left.items()}
+        pairs = spark.createDataFrame([(b, c) for b, cs in bins.items() for c in cs] + [("b00", min(bins["b00"]))], "bin string, contig int")
+        got = refinement.refined(pairs, spark.createDataFrame(list(weight.items()), "contig int, weight int"))
+        assert rows(got.select("contig", "bin", "score"), "contig") == sorted(want)
+    assert refinement.refined(pairs.limit(0), spark.createDataFrame([(1, 1)], "contig int, weight int")).count() == 0
+
+
+def test_dereplication_by_score(spark):
+    from quarry.operators import refinement
+
+    genomes = spark.createDataFrame([("a", 50.0), ("b", 90.0), ("c", 90.0), ("d", None)], "id string, score double")
+    near = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "d")], "src string, dst string")
+    assert dict(rows(refinement.dereplicated(genomes, near, "score"))) == {"a": "b", "b": "b", "c": "b", "d": "d"}
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    from quarry.operators import clustering
+
+    nodes = spark.range(3000).select("id", F.col("id").alias("place"))
+    edges = spark.range(2999).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    written = []
+    keep, clustering.materialise = clustering.materialise, lambda df, name="table": written.append(name) or keep(df, name)
+    try:
+        got = clustering.greedy_centroids(nodes, edges).collect()
+    finally:
+        clustering.materialise = keep
+    assert {r["id"]: r["centroid"] for r in got} == {i: i - i % 2 for i in range(3000)} and len(written) < 5
+    rng = random.Random(8)
+    pairs = {(rng.randrange(60), rng.randrange(60)) for _ in range(150)}
+    near = spark.createDataFrame([(f"n{a}", f"n{b}") for a, b in pairs], "src string, dst string")
+    near = near.union(near.select("dst", "src"))
+    some = spark.createDataFrame([(f"n{i}", (i * 37) % 60) for i in range(60)], "id string, place int")
+    assert rows(clustering.greedy_centroids(some, near), "id") == rows(clustering.greedy_centroids(some, near, finish=0), "id")
+
+
+def test_members_in_parts(spark):
+    from quarry.operators import clustering
+
+    got = clustering.member_parts(spark.range(25).select("id", F.when(F.col("id") < 23, 0).otherwise(9).alias("centroid")), 10)
+    assert [(r["centroid"], r["part"], r["size"], r["members"][0]) for r in got.orderBy("centroid", "part").collect()] == [(0, 0, 10, 0), (0, 1, 10, 10), (0, 2, 3, 20), (9, 0, 2, 23)]
+
+
+def test_hit_tables_and_other_exports(spark, tmp_path):
+    from quarry import adapters, config
+    from quarry.sources import sinks
+
+    names = ["t", "ta", "q", "qa", "e", "s", "b", "e1", "s1", "b1", "exp", "reg", "clu", "ov", "env", "dom", "rep", "inc", "note"]
+    hits = spark.createDataFrame([(f"t{i:03d}", None, "q", "A1", 1e-9 * i, 10.5, 0.1, 1e-8, 9.0, 0.0, 1.0, 1, 0, 0, 1, 1, 1, 1, "some words" if i % 2 else None) for i in range(200)], ", ".join(f"{n} {'double' if n in ('e', 's', 'b', 'e1', 's1', 'b1', 'exp') else 'int' if n in names[11:18] else 'string'}" for n in names)).repartition(4)
+    sinks.write_hits(hits, str(tmp_path / "tbl"), names, ["t"])
+    text = "".join((tmp_path / "tbl" / f).read_text() for f in sorted(os.listdir(tmp_path / "tbl")) if f.startswith("part"))
+    lines = text.splitlines()
+    assert lines[0].startswith("# target name accession query name") and [x.split()[0] for x in lines[1:]] == [f"t{i:03d}" for i in range(200)]
+    back = sinks.read_hits(spark, str(tmp_path / "tbl"), names)
+    assert rows(back.where("t = 't003'").select("ta", "s", "note")) == [(None, "10.5", "some words")] and back.count() == 200
+    with pytest.raises(ValueError):
+        sinks.write_hits(hits, str(tmp_path / "no"), names, ["t"], domains=True)
+    sinks.write_columns(hits.select(F.col("t").alias("sequence_id"), F.lit(None).alias("length")), str(tmp_path / "truth.tsv"), sinks.TRUTH)
+    got = tables.read(spark, str(tmp_path / "truth.tsv"), sep="\t")
+    assert tuple(got.columns) == sinks.TRUTH and got.first()["source_genome"] == "NA" and got.first()["length"] == "NA"
+    assert adapters.REGISTRY["assembly_search"].gives.names == list(sinks.DOWNLOADS)
+    with pytest.raises(config.ConfigError):
+        config.EngineConfig().input()
+    assert config.EngineConfig(fasta="x.fa").input() == ("fasta", "x.fa")
