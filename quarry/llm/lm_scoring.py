@@ -14,7 +14,7 @@ It is trained in numpy on all documents, every token learned from once: document
 are dealt by hash to blocks of about ``BLOCK`` tokens, a block takes stochastic
 gradient steps over its documents in the order of doc_id, in each of ``ROUNDS``
 rounds over the tokens of one place in ``ROUNDS``, all from the same start, and
-parameters are averaged, weighted by tokens, in two levels.  Blocks don't depend
+parameters are averaged, weighted by tokens, level by level.  Blocks don't depend
 on how rows are partitioned, so neither do scores.
 
 A document's score is the sum of its tokens' conditional log-probabilities, each
@@ -49,17 +49,17 @@ REACH = 2
 OFFSETS = (*range(-REACH, 0), *range(1, REACH + 1))
 HIDDEN = 16
 ROUNDS = 2
-RATE = 0.05
+RATE = 0.3
 #: A pass takes about STEPS gradient steps, each over at least LEAST_BATCH and at most BATCH tokens.
-STEPS = 256
+STEPS = 512
 LEAST_BATCH = 512
-BATCH = 1 << 13
+BATCH = 1 << 12
 #: Tokens that are scored in one product of matrices.
 STEP = 1 << 14
 #: Tokens of a training block, and of the documents that are scored at a time.
 BLOCK = 1 << 22
 SLICE = 1 << 19
-#: Averages are formed in so many groups before the driver adds those up.
+#: Averages are formed of so many at a time, in as many levels as are needed; the driver adds up the last ones.
 PARTS = 32
 #: Log-probabilities of words are added up in whole numbers of 1 / UNIT.
 UNIT = 1 << 30
@@ -280,6 +280,21 @@ def _decoded(column) -> list[np.ndarray]:
     return [np.frombuffer(x, "<i2") for x in column.to_pylist()]
 
 
+def summed(trained: DataFrame, blocks: int) -> DataFrame:
+    """At most PARTS rows (block, n, p) with the sums of those of ``blocks`` blocks; no task adds up more than PARTS."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        # in the order of blocks: sums of floats depend on it
+        order = np.argsort(rows["block"].to_numpy())
+        total = sum(np.frombuffer(rows["p"][int(i)].as_py()) for i in order)
+        return pa.table({"block": [rows["part"][0].as_py()], "n": [sum(rows["n"].to_pylist())], "p": pa.array([total.tobytes()], pa.binary())})
+
+    while blocks > PARTS:
+        trained = trained.withColumn("part", F.floor(F.col("block") / PARTS)).groupBy("part").applyInArrow(add, "block long, n long, p binary")
+        blocks = -(-blocks // PARTS)
+    return trained
+
+
 def fit(tokens: DataFrame, sizes: np.ndarray, rounds: int = ROUNDS) -> list[np.ndarray]:
     """The network's layers; the same for the same documents, however they are partitioned."""
     params = initial(sizes)
@@ -298,15 +313,8 @@ def fit(tokens: DataFrame, sizes: np.ndarray, rounds: int = ROUNDS) -> list[np.n
 
         return f
 
-    def add(rows: pa.Table) -> pa.Table:
-        # in the order of blocks: sums of floats depend on it
-        order = np.argsort(rows["block"].to_numpy())
-        total = sum(np.frombuffer(rows["p"][int(i)].as_py()) for i in order)
-        return pa.table({"part": [rows["part"][0].as_py()], "n": [sum(rows["n"].to_pylist())], "p": pa.array([total.tobytes()], pa.binary())})
-
     for r in range(rounds):
-        trained = dealt.groupBy("block").applyInArrow(step(params, r), "block long, n long, p binary").withColumn("part", F.col("block") % PARTS)
-        sums = sorted(trained.groupBy("part").applyInArrow(add, "part long, n long, p binary").collect())  # at most PARTS rows
+        sums = sorted(summed(dealt.groupBy("block").applyInArrow(step(params, r), "block long, n long, p binary"), blocks).collect())  # at most PARTS rows
         if sums:
             params = _load(sum(np.frombuffer(s["p"]) for s in sums) / sum(s["n"] for s in sums), params)
     return params

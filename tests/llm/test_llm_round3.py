@@ -238,3 +238,43 @@ def _walk(trees, t, row):
         k = (1 << level) - 1 + node
         node = 2 * node + int(row[trees.feature[t, k]] > trees.threshold[t, k])
     return trees.value[t, node]
+
+
+def test_lm_scores_against_a_plain_pseudo_likelihood(spark):
+    from quarry.llm import lm_scoring
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(1200)]  # more than have a class of their own
+    rows = [(i, " ".join(rng.choices(words, weights=[1 / (k + 1) for k in range(1200)], k=rng.randint(1, 80)))) for i in range(120)] + [(500, None), (501, " \n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = lm_scoring.counted(docs)
+    own, sizes, known = lm_scoring._vocabulary(counts, 1000)
+    tokens = lm_scoring.encoded(docs, own, known)
+    params = lm_scoring.fit(tokens, sizes)
+    got = {r["doc_id"]: r for r in lm_scoring.scores(tokens, params, lm_scoring.word_terms(tokens, counts, sizes)).collect()}
+    number, n = {w: i for i, w in enumerate(own)}, collections.Counter(w for _, t in rows for w in (t or "").split())
+    e, b, a, c, inner, bias = (x.astype(float) for x in params)
+    for i, t in rows[:12] + rows[-2:]:
+        ws = (t or "").split()
+        of = [number.get(w, lm_scoring.FREQUENT + zlib.crc32(w.encode()) % lm_scoring.SHARED) for w in ws]
+        total = 0.0
+        for k, (w, y) in enumerate(zip(ws, of)):
+            h = b.copy()
+            for j, off in enumerate(lm_scoring.OFFSETS):  # the token itself is masked: only its neighbours are read
+                h = h + e[j][of[k + off] if 0 <= k + off < len(of) else lm_scoring.PAD]
+            h = np.tanh(h)
+            g, m = divmod(y, lm_scoring.GROUP)
+            for z, at in ((h @ a + c, g), (h @ inner[g] + bias[g], m)):
+                total += z[at] - z.max() - math.log(np.exp(z - z.max()).sum())
+            total += 0.0 if w in number else math.log(n[w] / sizes[y])
+        assert got[i]["n_tokens"] == len(ws) and abs(got[i]["log_likelihood"] - total) < 1e-3 * max(1, len(ws))
+
+
+def test_lm_averages_in_levels(spark, monkeypatch):
+    from quarry.llm import lm_scoring
+
+    parts = [(b, b + 1, np.array([b, 1.0]).tobytes()) for b in range(100)]
+    df = spark.createDataFrame(parts, "block long, n long, p binary").repartition(7)
+    monkeypatch.setattr(lm_scoring, "PARTS", 4)
+    got = lm_scoring.summed(df, 100).collect()
+    assert len(got) <= 4 and sum(r["n"] for r in got) == 5050 and sum(np.frombuffer(r["p"]) for r in got).tolist() == [4950.0, 100.0]
