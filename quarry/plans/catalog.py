@@ -554,12 +554,20 @@ ln AS (SELECT l, doc_id FROM line WHERE length(l) >= 20),
 pr AS (SELECT DISTINCT a.doc_id AS src, b.doc_id AS dst FROM ln a JOIN ln b ON a.l = b.l AND a.doc_id <> b.doc_id)"""
 
 
-def _edges(t: _Tables) -> tuple[DataFrame, DataFrame]:
-    docs = t.documents
-    lines = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("l")).where(F.length("l") >= 20)
-    a, b = lines.select("l", F.col("doc_id").alias("src")), lines.select("l", F.col("doc_id").alias("dst"))
-    nodes = clustering.ranked(docs.select(F.col("doc_id").alias("id"), "n_chars"), [F.desc("n_chars"), "id"]).select("id", "place")
-    return nodes, a.join(b, "l").where("src <> dst").select("src", "dst").distinct()
+def _lines(t: _Tables) -> DataFrame:
+    """(id, group): documents and the digests of their lines of at least 20 characters."""
+    lines = t.documents.select(F.col("doc_id").alias("id"), F.explode(F.array_distinct(F.split("text", "\n"))).alias("l"))
+    return lines.where(F.length("l") >= 20).select("id", F.sha2("l", 256).alias("group"))
+
+
+def _by_length(t: _Tables) -> DataFrame:
+    return clustering.ranked(t.documents.select(F.col("doc_id").alias("id"), "n_chars"), [F.desc("n_chars"), "id"]).select("id", "place")
+
+
+def _edges(t: _Tables) -> DataFrame:
+    """All pairs of documents that share a line, for what counts them."""
+    rows = _lines(t)
+    return rows.withColumnRenamed("id", "src").join(rows.withColumnRenamed("id", "dst"), "group").where("src <> dst").select("src", "dst").distinct()
 
 
 @query(f"""
@@ -575,7 +583,8 @@ hd AS (SELECT unnest(heads) AS id FROM walk WHERE place = (SELECT max(place) FRO
 own AS (SELECT p.dst AS id, arg_min(p.src, n.place) AS centroid FROM pr p JOIN hd ON p.src = hd.id JOIN nd n ON n.id = p.src GROUP BY p.dst)
 SELECT nd.id, CASE WHEN hd.id IS NOT NULL THEN nd.id ELSE own.centroid END AS centroid FROM nd LEFT JOIN hd USING (id) LEFT JOIN own USING (id)""")
 def greedy_cluster(spark, d):
-    return clustering.greedy_centroids(*_edges(_Tables(spark, d)))
+    t = _Tables(spark, d)
+    return clustering.greedy_by_groups(_by_length(t), _lines(t))
 
 
 def _layer(k: int, live: str) -> str:
@@ -599,8 +608,8 @@ WITH RECURSIVE {_EDGES},
 nd AS (SELECT doc_id AS id, n_chars, CAST(('0x' || substr(md5(doc_id || ':0'), 1, 8)) AS BIGINT) % 4 AS part FROM documents),{_layer(0, "")},{_layer(1, "JOIN h0 USING (id)")},{_layer(2, "JOIN h1 USING (id)")}
 SELECT s0.id, s2.centroid FROM s0 JOIN s1 ON s0.centroid = s1.id JOIN s2 ON s1.centroid = s2.id""")
 def tournament_cluster(spark, d):
-    nodes, edges = _edges(_Tables(spark, d))
-    return clustering.tournament(nodes, edges, 3)
+    t = _Tables(spark, d)
+    return clustering.tournament(_by_length(t), None, 3, members=materialise(_lines(t), "lines"))
 
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -838,7 +847,8 @@ SELECT (SELECT count(*) FROM documents) AS sequences, (SELECT count(*) FROM pr)
   (SELECT count(*) FROM documents) - (SELECT count(*) FROM deg) AS singletons""")
 def edge_counts(spark, d):
     """Sequences, edges, and the documents without any edge, each a cluster of its own."""
-    nodes, edges = _edges(_Tables(spark, d))
+    t = _Tables(spark, d)
+    nodes, edges = t.documents.select(F.col("doc_id").alias("id")), _edges(t)
     alone = nodes.join(edges.select(F.col("dst").alias("id")), "id", "left_anti").select("id", F.col("id").alias("centroid"))
     return clustering.cluster_counts(nodes, edges, alone)
 

@@ -182,3 +182,26 @@ def test_hit_tables_and_other_exports(spark, tmp_path):
     with pytest.raises(config.ConfigError):
         config.EngineConfig().input()
     assert config.EngineConfig(fasta="x.fa").input() == ("fasta", "x.fa")
+
+
+def test_greedy_by_groups_equals_greedy_by_edges(spark):
+    from quarry.operators import clustering
+
+    for seed in range(3):
+        rng = random.Random(seed)
+        has = sorted({(rng.randrange(80), f"g{rng.randrange(60)}") for _ in range(180)} | {(i, "hot") for i in range(0, 80, 3 + 30 * seed)})
+        of = {}
+        for i, g in has:
+            of.setdefault(g, set()).add(i)
+        place = {i: (i * 37) % 80 for i in range(80)}
+        want, heads = {}, []
+        for i in sorted(place, key=place.get):
+            near = [h for h in heads if any(i in x and h in x for x in of.values())]
+            if not near:
+                heads.append(i)
+            want[i] = near[0] if near else i
+        nodes = spark.createDataFrame(sorted(place.items()), "id long, place int")
+        members = spark.createDataFrame([*has, has[0], (7, "alone")], "id long, group string")
+        for finish in (0, 40, 10**6):
+            assert dict(rows(clustering.greedy_by_groups(nodes, members, finish))) == want
+    assert rows(clustering.greedy_by_groups(nodes, members.limit(0)), "id") == [(i, i) for i in range(80)]
