@@ -825,6 +825,64 @@ def profile_blocks(spark, d):
     return wide.select("feature", "block", F.array_join(F.transform("values", lambda x: x.cast("long").cast("string")), ",").alias("cells"))
 
 
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity >= 45")
+def report_filter_bits(spark, d):
+    return consensus.reported_hits(_Tables(spark, d).lineitem, "l_discount", "l_quantity", least_bits=45.0).select("l_orderkey", "l_linenumber")
+
+
+@query(f"""WITH x AS ({_CLADES}) SELECT clade FROM x WHERE contains(clade, 'p__') AND NOT contains(clade, 'c__')""")
+def rank_filter_text(spark, d):
+    """Clades of a rank by markers that they hold and lack, anywhere in the text."""
+    t = _Tables(spark, d)
+    pair = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    k = t.region.select(F.concat(F.lit("k__"), "r_name").alias("clade")).distinct()
+    p = pair.select(F.concat(F.lit("k__"), "r_name", F.lit("|p__"), "n_name").alias("clade"))
+    c = t.customer.join(pair, F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("k__"), "r_name", F.lit("|p__"), "n_name", F.lit("|c__"), "c_mktsegment").alias("clade")).distinct()
+    return taxonomy.of_rank_by_text(k.union(p).union(c), "clade", "p__", "c__")
+
+
+@query("""
+WITH v AS (SELECT o_custkey, o_orderpriority AS taxon, count(*) AS votes FROM orders GROUP BY ALL),
+b AS (SELECT o_custkey, arg_min(taxon, (-votes, taxon)) AS taxon FROM v GROUP BY o_custkey)
+SELECT o_custkey, taxon, 'subfamily' AS rank, CASE WHEN false THEN '' END AS genus, taxon AS subfamily, 'f' || left(taxon, 1) AS family, 'o' AS "order", CASE WHEN false THEN '' END AS class FROM b""")
+def vote_lineage(spark, d):
+    """Each customer's most frequent priority as a taxon, with the names of the ranks above it."""
+    o = _Tables(spark, d).orders
+    votes = o.groupBy("o_custkey", F.col("o_orderpriority").alias("taxon")).agg(F.count("*").alias("votes"))
+    best = votes.groupBy("o_custkey").agg(F.min(F.struct((-F.col("votes")).alias("v"), "taxon")).alias("m")).select("o_custkey", F.col("m.taxon").alias("taxon"), F.lit("subfamily").alias("rank"), F.lit("taxon").alias("decision"))
+    low = o.select(F.col("o_orderpriority").alias("name")).distinct().withColumn("family", F.concat(F.lit("f"), F.substring("name", 1, 1)))
+    tree = low.select(F.col("name").alias("taxid"), "name", F.lit("subfamily").alias("rank"), F.col("family").alias("parent"))
+    tree = tree.unionByName(low.select(F.col("family").alias("taxid"), F.col("family").alias("name"), F.lit("family").alias("rank"), F.lit("o").alias("parent")).distinct())
+    top = spark.createDataFrame([("o", "o", "order", "o")], "taxid string, name string, rank string, parent string")
+    return taxonomy.with_lineage(best, taxonomy.lineages(tree.unionByName(top))).drop("decision")
+
+
+@query("SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS start, event_type, count(*) AS events FROM events GROUP BY ALL")
+def windowed_counts(spark, d):
+    """Events by kind in windows of six hours, as a stream of files that is read to its end."""
+    import uuid
+
+    from quarry.storage import shared_dir
+    from quarry.streaming import sources
+
+    base, path = f"{shared_dir(spark)}/windows-{uuid.uuid4().hex}", f"{d}/events.parquet"
+    rows = sources.arriving(spark, d, spark.read.parquet(path).schema, pathGlobFilter="events.parquet")
+    counts = sources.windowed_counts(rows.select("event_type", F.col("ts").cast("timestamp").alias("ts")), "ts", "event_type", "6 hours", "3650 days")
+
+    def keep(df, batch):  # the last update of a window counts
+        df.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{base}/table/of={batch}")
+
+    counts.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    back = spark.read.parquet(f"{base}/table").groupBy("start", "event_type").agg(F.max_by("events", "batch").alias("events"))
+    return back.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events")
+
+
+@query("SELECT doc_id, string_split(text, ' ')[1] AS first FROM documents")
+def first_fields(spark, d):
+    """The first blank-separated field of documents."""
+    return _Tables(spark, d).documents.select("doc_id", F.split("text", " ", 2)[0].alias("first"))
+
+
 @query("SELECT event_id, event_type FROM events WHERE event_type IS NOT NULL AND event_type <> 'view'")
 def annotated_rows(spark, d):
     return consensus.annotated(_Tables(spark, d).events, "event_type", "view").select("event_id", "event_type")

@@ -29,15 +29,15 @@ class Growing:
     """A table to which the rounds of an operator add; read as one scan, however many rounds there were."""
 
     def __init__(self, df: DataFrame, name: str = "table"):
-        self.spark, self.schema = df.sparkSession, df.schema
+        self.spark, self.schema, self.empty = df.sparkSession, df.schema, True
         self.path = f"{shared_dir(self.spark)}/quarry-{name}-{uuid.uuid4().hex}"
-        df.limit(0).write.parquet(self.path)
 
     def add(self, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path)
+        self.empty = False
 
     def table(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.createDataFrame([], self.schema) if self.empty else self.spark.read.schema(self.schema).parquet(self.path)
 
 
 def moved(spark, folder: str, target: str, name) -> None:
