@@ -205,3 +205,28 @@ def test_greedy_by_groups_equals_greedy_by_edges(spark):
         for finish in (0, 40, 10**6):
             assert dict(rows(clustering.greedy_by_groups(nodes, members, finish))) == want
     assert rows(clustering.greedy_by_groups(nodes, members.limit(0)), "id") == [(i, i) for i in range(80)]
+
+
+def test_profiles_do_not_depend_on_shards(spark):
+    from quarry.operators import profiles
+
+    rng = random.Random(6)
+    letters = "ACDE"
+    seqs = [(i, "".join(rng.choices("ACDEXacde", k=rng.randint(0, 60)))) for i in range(40)] + [(99, None), (100, "ACDE" * 2000)]
+    found = [(f"p{i}", [round(rng.uniform(-2, 3), 3) for _ in range(4 * n)], 1.1 * n) for i, n in enumerate([3, 5, 8, 8, 12, 200])] + [("none", [], 0.0)]
+    want = set()
+    for name, scores, threshold in found:
+        rows_ = [scores[k : k + 4] for k in range(0, len(scores), 4)]
+        for i, s in seqs:
+            at = [(sum(r[letters.index(c.upper())] if c.upper() in letters else min(r) for r, c in zip(rows_, s[k:])), -k) for k in range(len(s) - len(rows_) + 1)] if s and rows_ else []
+            if at and max(at)[0] >= threshold:
+                want.add((name, i, -max(at)[1] + 1, -max(at)[1] + len(rows_)))
+    df, table = spark.createDataFrame(seqs, "id long, seq string").repartition(3), spark.createDataFrame(found, "name string, scores array<double>, threshold double")
+    for shard_bytes in (1 << 20, 300):
+        got = profiles.search(df, table, letters, shard_bytes)
+        assert {tuple(r) for r in got.select("name", "id", "start", "end").collect()} == want and got.count() == len(want) > 20
+    shards = profiles.sharded(table, 300).groupBy("shard").agg(F.sum(F.size("scores") * 8).alias("b"), F.count("*").alias("n")).collect()
+    assert len(shards) > 3 and all(r["b"] <= 300 + 6400 for r in shards)
+    cut = profiles.with_evalues(got, 42, 0.5, 1.0)
+    assert 0 < cut.count() < got.count() and cut.agg(F.max("evalue")).first()[0] <= 1
+    assert profiles.search(df, table.limit(0), letters).count() == 0
