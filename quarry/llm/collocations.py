@@ -38,10 +38,10 @@ from quarry.llm import anchors, common
 MOST = 5
 LEAST = 100
 TOP = 2000
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 FILTER_BITS = 1 << 28
 SALTS = 64
-_SCHEMA = "lang string, size int, phrase string, f long"
+_SCHEMA = "lang string, phrase string, f long"
 _U = np.uint64
 
 _KIND = np.zeros(256, np.uint8)  # 0: in a word, 1: between words, 2: between pieces
@@ -91,12 +91,11 @@ class Words:
         parts = [self.spelt.take(pa.array(self.word[first + k])) for k in range(size)]
         phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if size > 1 else parts[0]
         lang = self.langs.take(pa.array(self.lang[first]))
-        return pa.RecordBatch.from_arrays([lang.cast(pa.string()), pa.array(np.full(len(first), size, np.int32)), phrase.cast(pa.string()), pa.array(counts.astype(np.int64))], names=["lang", "size", "phrase", "f"])
+        return pa.RecordBatch.from_arrays([lang.cast(pa.string()), phrase.cast(pa.string()), pa.array(counts.astype(np.int64))], names=["lang", "phrase", "f"])
 
     def totals(self) -> pa.RecordBatch:
         counts = np.bincount(self.lang, minlength=len(self.langs)).astype(np.int64)
-        n = len(counts)
-        return pa.RecordBatch.from_arrays([self.langs.cast(pa.string()), pa.array(np.zeros(n, np.int32)), pa.array([""] * n, pa.string()), pa.array(counts)], names=["lang", "size", "phrase", "f"])
+        return pa.RecordBatch.from_arrays([self.langs.cast(pa.string()), pa.array([""] * len(counts), pa.string()), pa.array(counts)], names=["lang", "phrase", "f"])
 
 
 def _chunks(batches):
@@ -112,7 +111,7 @@ def _chunks(batches):
 def counted(texts: DataFrame, sizes: tuple[int, ...], known: int = 0, bits=None) -> DataFrame:
     """(lang, size, phrase, f) of phrases of these sizes; with bits, of those whose every ``known`` words pass them.
 
-    Size 0 stands for all words of a language.
+    Size 0, the empty phrase, stands for all words of a language.  Sizes follow from phrases, and are not shuffled.
     """
 
     def grams(batches):
@@ -126,8 +125,7 @@ def counted(texts: DataFrame, sizes: tuple[int, ...], known: int = 0, bits=None)
             if passes is not None:
                 at = w.hashes(known) & _U(len(passes) * 8 - 1)
                 go = (passes[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1
-            first = np.arange(len(w.word))
-            first = first[np.concatenate([go, np.zeros(len(first) - len(go), bool)])] if known < 2 else first
+            first = np.flatnonzero(go) if known < 2 else np.arange(len(w.word))
             gram = w.word[first] * len(w.langs) + w.lang[first]
             for size in range(1, max(sizes) + 1):
                 if size > 1:  # phrases of one word more, where the next word still belongs to the piece
@@ -139,7 +137,9 @@ def counted(texts: DataFrame, sizes: tuple[int, ...], known: int = 0, bits=None)
                 if size in sizes and len(at):
                     yield w.rows(size, first[at], n)
 
-    return texts.mapInArrow(common.trimmed(grams), _SCHEMA).groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+    counts = texts.mapInArrow(common.trimmed(grams), _SCHEMA).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1)
+    return counts.select("lang", size.cast("int").alias("size"), "phrase", "f")
 
 
 def _bits(frequent: DataFrame, size: int):
