@@ -51,9 +51,9 @@ HIDDEN = 16
 ROUNDS = 2
 RATE = 0.3
 #: A pass takes about STEPS gradient steps, each over at least LEAST_BATCH and at most BATCH tokens.
-STEPS = 512
+STEPS = 256
 LEAST_BATCH = 512
-BATCH = 1 << 12
+BATCH = 1 << 13
 #: Tokens that are scored in one product of matrices.
 STEP = 1 << 14
 #: Tokens of a training block, and of the documents that are scored at a time.
