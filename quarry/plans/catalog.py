@@ -625,7 +625,7 @@ WITH v AS (SELECT doc_id AS id, translate(lower(regexp_replace(text, '[^A-Za-z]'
 c1 AS (SELECT id, n, i, x::BIGINT AS f, 3 - x::BIGINT AS r FROM (SELECT id, length(s) - 15 AS n, unnest(string_split(s, '')) AS x, generate_subscripts(string_split(s, ''), 1) AS i FROM v WHERE length(s) >= 16)),
 {_DOUBLED},
 m AS (SELECT id, n, i, (least(f, r)::HUGEINT * {similarity.MIX} % 4294967296)::BIGINT AS code FROM c16 WHERE i <= n),
-w AS (SELECT DISTINCT id, code FROM (SELECT id, n, i, min(code) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING) AS code FROM m) WHERE i <= greatest(1, n - 15)),
+w AS (SELECT DISTINCT id, code FROM (SELECT id, n, i, min(code) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND {similarity.WINDOW - 1} FOLLOWING) AS code FROM m) WHERE i <= greatest(1, n - {similarity.WINDOW - 1})),
 sk AS (SELECT id, list(code ORDER BY code) AS sketch FROM w GROUP BY id),
 cl AS (SELECT sketch, min(id) AS class_id, count(*) AS members FROM sk GROUP BY sketch),
 t AS MATERIALIZED (SELECT class_id, len(sketch) AS size, unnest(sketch) AS code FROM cl),

@@ -62,7 +62,7 @@ def sequences(seed, n):
 
 
 def model(batches):
-    sketch = lambda s: frozenset(similarity.minimizers(np.frombuffer(s.encode(), np.uint8), 16, 16).tolist())
+    sketch = lambda s: frozenset(similarity.minimizers(np.frombuffer(s.encode(), np.uint8), similarity.K, similarity.WINDOW).tolist())
     share = lambda a, b: len(a & b) / len(a | b) if a and b else 0.0
     heads, out = {}, {}
     for batch in batches:
