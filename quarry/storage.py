@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
@@ -34,6 +36,20 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def released(f):
+    """f, a function of Arrow batches, that gives memory back when its task is done: Python workers stay."""
+
+    def g(batches):
+        yield from f(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return g
+
+
 class Growing:
     """A table to which the rounds of an operator add; read as one scan, however many rounds there were."""
 
