@@ -218,7 +218,8 @@ def best_hit(spark, d):
 
 @query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS i FROM documents) WHERE i = 1")
 def keep_first(spark, d):
-    return ordering.keep_first(_Tables(spark, d).documents, ["text"], ["doc_id"]).select("doc_id", "source")
+    docs = _Tables(spark, d).documents.select("doc_id", "source", F.sha2("text", 256).alias("digest"))  # texts themselves aren't shuffled
+    return ordering.keep_first(docs, ["digest"], ["doc_id"]).select("doc_id", "source")
 
 
 _EVENTS = "SELECT *, lag(event_type) OVER w AS p, lead(event_type) OVER w AS q, row_number() OVER w AS i FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"
