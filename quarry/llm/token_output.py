@@ -11,7 +11,11 @@ A row holds the id matrix line (little-endian unsigned 32-bit, padded), the
 cumulative segment lengths, and where positions reset to what: a document's
 later pieces go on counting where the piece before stopped.
 
-A null text is empty and gives the end token alone.  Other columns are ignored.
+A null text is empty and gives the end token alone.  Repeated rows, and rows that share
+a doc_id or have none, are packed one by one; pieces of one length are taken in the order
+of their rows, and of rows with the same room left the latest is filled.  An empty table
+writes no rows.  A long text is tokenized whole.  Other columns, whatever their names, are
+ignored.
 """
 
 from __future__ import annotations

@@ -278,3 +278,21 @@ def test_lm_averages_in_levels(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "PARTS", 4)
     got = lm_scoring.summed(df, 100).collect()
     assert len(got) <= 4 and sum(r["n"] for r in got) == 5050 and sum(np.frombuffer(r["p"]) for r in got).tolist() == [4950.0, 100.0]
+
+
+def test_token_rows_against_plain_best_fit_decreasing():
+    from quarry.llm import token_output
+
+    rng = random.Random(11)
+    for n in (0, 1, 40, 300):
+        lengths = [rng.choice([rng.randint(1, 64), 64, 1, rng.randint(20, 40)]) for _ in range(n)]
+        rooms = []
+        for x in sorted(lengths, reverse=True):
+            fits = [k for k, r in enumerate(rooms) if r >= x]
+            if fits:
+                rooms[min(fits, key=lambda k: rooms[k])] -= x
+            else:
+                rooms.append(64 - x)
+        got = token_output.best_fit_decreasing(lengths, 64)
+        assert sorted(i for row in got for i in row) == list(range(n)) and all(sum(lengths[i] for i in row) <= 64 for row in got)
+        assert sorted(64 - sum(lengths[i] for i in row) for row in got) == sorted(rooms)  # as many rows, with the same room left
