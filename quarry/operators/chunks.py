@@ -11,9 +11,10 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,12 +25,19 @@ class Incomplete(RuntimeError):
     """Chunks without a result, and why."""
 
 
-def by_size(df: DataFrame, order: list[str | Column], size: str, chunks: int) -> DataFrame:
-    """df with place (from 1) and chunk (from 0): at most ``chunks``, each of about as much of the sizes' sum."""
-    rows = Ordered(df, [], order, limit=0).with_columns(place=Running("count"), _upto=Running("sum", F.coalesce(F.col(size), F.lit(0)).cast("long")), _before=Running("sum", F.coalesce(F.col(size), F.lit(0)).cast("long"), before=True)).rows()
-    total = df.agg(F.greatest(F.coalesce(F.sum(size), F.lit(0)).cast("long"), F.lit(1)).alias("_all"))  # one row
-    middle = (F.coalesce("_before", F.lit(0)) + F.col("_upto")) / 2  # a row belongs where its middle lies
-    return rows.join(F.broadcast(total)).withColumn("chunk", F.least(F.lit(chunks - 1), F.floor(middle * chunks / F.col("_all"))).cast("int")).drop("_upto", "_before", "_all")
+def by_size(df: DataFrame, order: list[str], size: str, chunks: int) -> DataFrame:
+    """df with place (from 1) and chunk (from 0): at most ``chunks``, each of about as much of the sizes' sum.
+
+    order: columns that no two rows have in common; only they and the sizes are put in order, and joined back.
+    """
+    keys = df.select(*order, F.coalesce(F.col(size), F.lit(0)).cast("long").alias("_size"))
+    rows = Ordered(keys, [], order, limit=0).with_columns(place=Running("count"), _upto=Running("sum", "_size")).rows()
+    total = keys.agg(F.greatest(F.coalesce(F.sum("_size"), F.lit(0)), F.lit(1)).alias("_all"))  # one row
+    middle = F.col("_upto") - F.col("_size") / 2  # a row belongs where its middle lies
+    placed = rows.join(F.broadcast(total)).withColumn("chunk", F.least(F.lit(chunks - 1), F.floor(middle * chunks / F.col("_all"))).cast("int"))
+    placed = placed.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)], "place", "chunk")
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(order)])
+    return df.join(placed, same).select(*df.columns, "place", "chunk")
 
 
 def _results(spark: SparkSession, path: str) -> DataFrame | None:
