@@ -3,6 +3,7 @@
 import os
 import random
 import statistics
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,38 @@ def test_refinement_equals_one_by_one(spark):
     assert refinement.refined(pairs.limit(0), spark.createDataFrame([(1, 1)], "contig int, weight int")).count() == 0
 
 
+def test_refinement_of_one_large_component_and_of_many_small_ones(spark, monkeypatch):
+    from decimal import Decimal
+
+    from quarry.operators import refinement
+
+    rounds = []
+    made = refinement._in_order
+    monkeypatch.setattr(refinement, "_in_order", lambda *a: rounds.append(1) or made(*a))
+    rng = random.Random(4)
+    # all of 150 bins wait for each other; 40 pairs of bins share a contig of their own; a chain of 60
+    bins = {i: {rng.randint(0, 399) for _ in range(40)} for i in range(150)} | {1000 + i: {1000 + i // 2, 2000 + i} for i in range(80)} | {3000 + i: {3000 + i, 3001 + i} for i in range(60)}
+    kinds = {"long": lambda: rng.choice([0, 1, 2, 5, 9]), "double": lambda: rng.choice([0.1, 0.2, 0.7, 1e-9]), "decimal(12,3)": lambda: Decimal(rng.randint(0, 5000)).scaleb(-3)}
+    for kind, weigh in kinds.items():
+        weight = {c: weigh() for cs in bins.values() for c in cs}
+        exact = {c: Fraction(w) for c, w in weight.items()}
+        left, want = dict(bins), set()
+        while left and (best := min((-sum(exact[c] for c in cs), b) for b, cs in left.items()))[0] < 0:
+            taken = left.pop(best[1])
+            want |= {(c, best[1], -best[0]) for c in taken}
+            left = {b: cs - taken for b, cs in left.items()}
+        pairs = spark.createDataFrame([(b, c) for b, cs in bins.items() for c in cs], "bin long, contig long")
+        for limit, most in ((10_000, 1),) if kind != "long" else ((3000, 8),):
+            rounds.clear()
+            got = sorted(rows(refinement.refined(pairs, spark.createDataFrame(list(weight.items()), f"contig long, weight {kind}"), limit=limit)))
+            assert len(rounds) <= most  # of 150 and more that a round for each waiting bin takes
+            assert [r[:2] for r in got] == [(c, b) for c, b, _ in sorted(want)]
+            assert all(r[2] == (float(s) if kind == "double" else s) for r, (_, _, s) in zip(got, sorted(want)))
+    few = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (2, 3), (2, 4)], "bin long, contig long")
+    got = refinement.refined(few, spark.createDataFrame([(c, 1) for c in (1, 2, 3, 4)], "contig long, weight long"), limit=2)
+    assert sorted(rows(got)) == [(1, 1, 3), (2, 1, 3), (3, 1, 3), (4, 2, 1)]  # a bin beyond the limit by itself
+
+
 def test_dereplication_by_score(spark):
     from quarry.operators import refinement
 
