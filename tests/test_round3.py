@@ -159,6 +159,23 @@ def test_refinement_of_one_large_component_and_of_many_small_ones(spark, monkeyp
     assert sorted(rows(got)) == [(1, 1, 3), (2, 1, 3), (3, 1, 3), (4, 2, 1)]  # a bin beyond the limit by itself
 
 
+def test_edges_by_groups_are_counted_as_pairs_are(spark, monkeypatch):
+    from quarry.operators import clustering
+
+    monkeypatch.setattr(clustering, "BLOCK_COLUMNS", 3)
+    rng = random.Random(6)
+    # hot groups, rare ones, exact copies, near copies of many groups, groups of one node, nodes without any
+    held = {i: {g for g in range(6) if rng.random() < 0.5 / (g + 1)} | {rng.randint(10, 60) for _ in range(rng.randint(0, 2))} | {1000 + i} for i in range(120)}
+    held |= {200 + i: {1, 2, 70} for i in range(9)} | {300 + i: set(range(80, 92)) - {80 + i % 12} | {1} for i in range(30)} | {400: set(), 401: {500}}
+    edges = sum(1 for a in held for b in held if a != b and held[a] & held[b])
+    alone = sum(1 for a in held if not any(a != b and held[a] & held[b] for b in held))
+    nodes = spark.createDataFrame([(i,) for i in held], "id long")
+    members = spark.createDataFrame([(i, g) for i, gs in held.items() for g in gs] + [(200, 1)], "id long, group long")
+    for join, block in ((100, 2000), (3, 8)):
+        assert rows(clustering.group_counts(nodes, members, join, block)) == [(len(held), edges, alone, alone)]
+    assert rows(clustering.group_counts(nodes, members.limit(0))) == [(len(held), 0, len(held), len(held))]
+
+
 def test_dereplication_by_score(spark):
     from quarry.operators import refinement
 
