@@ -11,10 +11,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,16 +27,19 @@ class Incomplete(RuntimeError):
 def by_size(df: DataFrame, order: list[str], size: str, chunks: int) -> DataFrame:
     """df with place (from 1) and chunk (from 0): at most ``chunks``, each of about as much of the sizes' sum.
 
-    order: columns that no two rows have in common; only they and the sizes are put in order, and joined back.
+    Only the order's columns, the sizes and a hash of each row are put in order, and joined back.  Rows that the order
+    doesn't tell apart follow their sizes and hashes; each gets a place of its own.
     """
-    keys = df.select(*order, F.coalesce(F.col(size), F.lit(0)).cast("long").alias("_size"))
-    rows = Ordered(keys, [], order, limit=0).with_columns(place=Running("count"), _upto=Running("sum", "_size")).rows()
+    told = df.withColumns({"_key": F.struct(*order), "_size": F.coalesce(F.col(size), F.lit(0)).cast("long"), "_hash": F.xxhash64(*df.columns)})
+    keys = told.select("_key", "_size", "_hash")
+    by = [*[F.col("_key")[c].asc_nulls_last() for c in order], F.col("_size"), F.col("_hash")]  # missing keys last, as in SQL
+    rows = Ordered(keys, [], by, limit=0).with_columns(place=Running("count"), _upto=Running("sum", "_size")).rows()
     total = keys.agg(F.greatest(F.coalesce(F.sum("_size"), F.lit(0)), F.lit(1)).alias("_all"))  # one row
     middle = F.col("_upto") - F.col("_size") / 2  # a row belongs where its middle lies
     placed = rows.join(F.broadcast(total)).withColumn("chunk", F.least(F.lit(chunks - 1), F.floor(middle * chunks / F.col("_all"))).cast("int"))
-    placed = placed.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)], "place", "chunk")
-    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(order)])
-    return df.join(placed, same).select(*df.columns, "place", "chunk")
+    placed = placed.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("place", "chunk"))).alias("_places"))
+    told = told.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("_size", "_hash")))
+    return told.join(placed, "_key").select(*df.columns, F.col("_places")[F.col("_nth") - 1].alias("_at")).select(*df.columns, "_at.place", "_at.chunk")
 
 
 def _results(spark: SparkSession, path: str) -> DataFrame | None:
@@ -66,11 +68,13 @@ def run(chunked: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], gives:
     this = uuid.uuid4().hex
     schema = T.StructType([T.StructField("chunk", T.IntegerType()), T.StructField("run", T.StringType()), T.StructField("place", T.LongType()), T.StructField("value", T.StringType()), T.StructField("done", T.BooleanType()), T.StructField("error", T.StringType()), T.StructField("rows", T.LongType())])
 
+    whole = {f.name: "Int64" for f in gives if isinstance(f.dataType, T.IntegralType)}  # pandas makes floats of them where some are missing
+
     def one(key, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("place", ignore_index=True)
         error, lines = None, []
         try:
-            got = call(part.drop(columns=["chunk"]))[names]
+            got = call(part.drop(columns=["chunk"]))[names].astype(whole)
             lines = [json.dumps(r, default=str) for r in got.astype(object).where(got.notna(), None).to_dict("records")]  # floats in full; missing values are null
         except Exception as e:  # kept as the chunk's result: others go on
             error = f"{type(e).__name__}: {e}"[:2000]

@@ -52,6 +52,25 @@ def test_chunks_are_balanced_and_gathered_in_order(spark, tmp_path):
     assert none.count() == 0
 
 
+def test_whole_numbers_stay_whole_beside_missing_ones(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (4, "c d e"), (5, "f")], "id long, text string").withColumn("bytes", F.length("text"))
+    gives = tables.schema(id=tables._L, n=tables._L, blanks=tables._L)
+
+    def measured(part):
+        return part[["id"]].assign(n=part["text"].str.len(), blanks=part["text"].str.count(" ").where(part["text"].str.len() > 0))
+
+    chunks.run(chunks.by_size(df, ["id"], "bytes", 2), measured, gives, str(tmp_path / "out"))
+    got = chunks.gather(spark, str(tmp_path / "out"), gives).orderBy("id")
+    assert [(r["id"], r["n"], r["blanks"]) for r in got.collect()] == [(1, 3, 1), (2, None, None), (3, 0, None), (4, 5, 2), (5, 1, 0)]
+
+
+def test_rows_of_one_key_have_places_of_their_own(spark):
+    rows = [(None, "x"), (2, "b"), (1, "a"), (2, "b"), (2, "ccc"), (None, None)]
+    df = spark.createDataFrame(rows, "id long, seq string").withColumn("bytes", F.length("seq")).repartition(3)
+    got = chunks.by_size(df, ["id"], "bytes", 2).orderBy("place").collect()
+    assert [(r["place"], r["id"], r["seq"]) for r in got] == [(1, 1, "a"), (2, 2, "b"), (3, 2, "b"), (4, 2, "ccc"), (5, None, None), (6, None, "x")]
+
+
 def sequences(seed, n):
     rng, out = random.Random(seed), []
     for _ in range(n):
